@@ -11,6 +11,7 @@ from storeledger.config import Rules
 
 # Widest decimal with two digits: a total over any number of lines fits.
 MONEY = "decimal(38,2)"
+WHOLE = "decimal(38,0)"
 
 
 def line_amount() -> Column:
@@ -31,15 +32,14 @@ def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """numerator / denominator rounded half away from zero, exact at any size; NULL on a zero or NULL denominator.
 
     A decimal quotient in Spark has a fixed scale, and rounding it a second time can land on the wrong side of a
-    half. Both operands carry at most two decimals, so the rounding is done once, on integers.
+    half. Both operands carry at most two decimals, so the quotient is rounded once, by whole-number division after
+    moving the numerator half a denominator away from zero.
     """
-    n = (numerator.cast(MONEY) * 100).cast("decimal(38,0)")
-    d = F.nullif((denominator.cast(MONEY) * 100).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    doubled = (F.abs(n) * (2 * 10**digits) + F.abs(d)).cast("decimal(38,0)")
-    magnitude = F.call_function("div", doubled, (F.abs(d) * 2).cast("decimal(38,0)")).cast("decimal(20,0)")
-    signed = F.when((n < 0) != (d < 0), -magnitude).otherwise(magnitude)
-    unit = Decimal(1).scaleb(-digits)
-    return (signed * F.lit(unit)).cast(f"decimal(20,{digits})")
+    n = (numerator.cast(MONEY) * (200 * 10**digits)).cast(WHOLE)
+    d = (denominator.cast(MONEY) * 100).cast(WHOLE)
+    half = F.when(n < 0, -F.abs(d)).otherwise(F.abs(d))
+    steps = F.call_function("div", n + half, F.nullif(d * 2, F.lit(0)))
+    return (steps.cast("decimal(20,0)") * Decimal(1).scaleb(-digits)).cast(f"decimal(20,{digits})")
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

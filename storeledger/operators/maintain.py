@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,11 +15,11 @@ from storeledger.sources.tables import Tables
 
 def refresh_snapshots(tables: Tables, rules: Rules, prefix: str = "") -> Tables:
     """Rebuild the stored order amounts and both monthly tables; the result reads from them. Safe to rerun."""
-    live = replace(tables, order_amounts=None, monthly_revenue=None)
-    stored = replace(live, order_amounts=write_table(order_amounts(live, rules), f"{prefix}order_amounts"))
+    live = tables.replaced(order_amounts=None, monthly_revenue=None)
+    stored = live.replaced(order_amounts=write_table(order_amounts(live, rules), f"{prefix}order_amounts"))
     monthly = write_table(monthly_revenue(stored, rules), f"{prefix}monthly_revenue")
     write_table(monthly, f"{prefix}monthly_summary")
-    return replace(stored, monthly_revenue=monthly)
+    return stored.replaced(monthly_revenue=monthly)
 
 
 def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:

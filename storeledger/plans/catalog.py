@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -176,7 +175,7 @@ def _stored_order_amounts(tables: Tables, rules: Rules) -> DataFrame:
     spark = tables.orders.sparkSession
     folder = shared_folder(spark)
     stored = write_table(order_amounts(tables, rules), f"order_amounts_{folder[-12:]}", path=folder)
-    return baskets.basket_class_summary(replace(tables, order_amounts=stored), rules)
+    return baskets.basket_class_summary(tables.replaced(order_amounts=stored), rules)
 
 
 def _exported_categories(tables: Tables, rules: Rules) -> DataFrame:

@@ -105,7 +105,7 @@ FROM {_PRICED} GROUP BY 1"""
 _TOP_CUSTOMERS = f"""SELECT c.id AS customer_id, last_name, first_name, city, {_ORDERS} AS orders, {_REVENUE} AS revenue,
     {_ratio("SUM(amount)", _ORDERS, 2)} AS average_basket
 FROM s_sales s JOIN s_customers c ON c.id = s.customer_id GROUP BY c.id, last_name, first_name, city
-ORDER BY revenue DESC, c.id LIMIT 10"""
+ORDER BY revenue DESC NULLS FIRST, c.id LIMIT 10"""
 
 _CATEGORIES = f"""SELECT category, {_REVENUE} AS revenue, {_count("SUM(quantity)")} AS units
 FROM {_PRICED} GROUP BY category"""
@@ -132,8 +132,9 @@ def _missing(table: str, columns: list[str], blanks: tuple[str, ...] = ()) -> st
 
 
 def _violations(table: str, column: str, rule: str, condition: str) -> str:
+    counted = f"DISTINCT {column}" if rule == "reference" else "*"
     return f"""SELECT '{table[2:]}' AS table_name, '{column}' AS column_name, '{rule}' AS "constraint",
-    COUNT(*) AS violations FROM {table} WHERE {condition}"""
+    COUNT({counted}) AS violations FROM {table} WHERE {condition}"""
 
 
 def _constraint_report() -> str:
@@ -192,7 +193,7 @@ _QUERIES = {
     "category_shares": f"""SELECT category, revenue, {_percent("revenue", "(SELECT SUM(amount) FROM s_sales)", 1)}
         AS revenue_pct FROM ({_CATEGORIES})""",
     "top_products_by_quantity": f"""SELECT p.id, name, category, {_count("SUM(quantity)")} AS units
-        FROM {_PRICED} GROUP BY p.id, name, category ORDER BY units DESC, p.id LIMIT 10""",
+        FROM {_PRICED} GROUP BY p.id, name, category ORDER BY units DESC NULLS FIRST, p.id LIMIT 10""",
     "products_by_revenue": f"""SELECT p.id, name, category, {_REVENUE} AS revenue
         FROM {_PRICED} GROUP BY p.id, name, category ORDER BY revenue DESC, p.id""",
     "customer_spend": f"""SELECT c.id, last_name, first_name, COUNT(DISTINCT o.id) AS orders,
@@ -215,7 +216,7 @@ _QUERIES = {
         {_percent("revenue", "(SELECT SUM(total) FROM s_amounts)", 1)} AS revenue_pct FROM ({_CLASSES})""",
     "monthly_revenue": _MONTHS,
     "monthly_revenue_chrono": f"{_MONTHS} ORDER BY month",
-    "best_months": f"SELECT month, revenue, orders FROM ({_MONTHS}) ORDER BY revenue DESC, month LIMIT 6",
+    "best_months": f"SELECT month, revenue, orders FROM ({_MONTHS}) ORDER BY revenue DESC NULLS FIRST, month LIMIT 6",
     "worst_months": f"SELECT month, revenue, orders FROM ({_MONTHS}) ORDER BY revenue, month LIMIT 6",
     "semester_summary": f"{_SEMESTERS} ORDER BY semester",
     "semester_growth": f"""SELECT semester, orders, revenue, {_ratio("revenue", "orders", 2)} AS average_basket,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,32 +51,28 @@ def star_tables(spark: SparkSession, root: str, prices: bool = True, signups: bo
     signup from the first order with status F (NULL without one); otherwise the column is NULL.
     Stored tables have both columns: bind once, write, and run every job from there.
     """
-    orders = _orders(read_star(spark, root, "orders"))
-    lines = read_star(spark, root, "lineitem")
-    parts = read_star(spark, root, "part")
+    table = partial(read_star, spark, root)
     return Tables(
-        customers=_customers(
-            read_star(spark, root, "customer"), read_star(spark, root, "nation"), orders if signups else None
-        ),
-        products=_products(parts),
-        orders=orders,
-        order_lines=_priced_lines(lines, parts) if prices else _lines(lines),
+        customers=lambda: _customers(table("customer"), table("nation"), table("orders") if signups else None),
+        products=lambda: _products(table("part")),
+        orders=lambda: _orders(table("orders")),
+        order_lines=lambda: _priced_lines(table("lineitem"), table("part")) if prices else _lines(table("lineitem")),
     )
 
 
 def _customers(customer: DataFrame, nation: DataFrame, orders: DataFrame | None) -> DataFrame:
-    city = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city"))
-    customers = customer.join(city, "c_nationkey", "left").select(
-        F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("last_name"),
-        F.col("c_mktsegment").alias("first_name"),
-        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")).alias("email"),
-        "city",
+    customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").selectExpr(
+        "c_custkey AS id",
+        "c_name AS last_name",
+        "c_mktsegment AS first_name",
+        "concat(lower(replace(c_name, '#', '.')), '@example.com') AS email",
+        "n_name AS city",
     )
     if orders is None:
-        return customers.withColumn("signup_date", F.lit(None).cast("date"))
+        return customers.selectExpr("*", "CAST(NULL AS DATE) AS signup_date")
     first_delivery = (
-        orders.filter(F.col("status") == "F")
+        _orders(orders)
+        .filter("status = 'F'")
         .groupBy(F.col("customer_id").alias("id"))
         .agg(F.min("order_date").alias("signup_date"))
     )
@@ -83,53 +80,55 @@ def _customers(customer: DataFrame, nation: DataFrame, orders: DataFrame | None)
 
 
 def _products(part: DataFrame) -> DataFrame:
-    return part.select(
-        F.col("p_partkey").alias("id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
-        F.col("p_size").alias("stock"),
+    return part.selectExpr(
+        "p_partkey AS id",
+        "p_name AS name",
+        "p_type AS category",
+        "CAST(p_retailprice AS DECIMAL(10,2)) AS price",
+        "p_size AS stock",
     )
 
 
 def _orders(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("o_orderstatus").alias("status"),
+    return orders.selectExpr(
+        "o_orderkey AS id",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "o_orderstatus AS status",
     )
 
 
+_LINE = (
+    "CAST(l_linenumber AS BIGINT) AS id",
+    "l_orderkey AS order_id",
+    "l_partkey AS product_id",
+    "CAST(l_quantity AS INT) AS quantity",
+)
+
+
 def _lines(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_linenumber").cast("bigint").alias("id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-    )
+    return lineitem.selectExpr(*_LINE)
 
 
 def _priced_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """A left join: a line whose part is unknown stays, without a price, for the checks to report."""
-    price = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
-    kept = 1 - F.col("l_discount").cast("decimal(4,2)")
-    priced = lineitem.join(price, "l_partkey", "left")
-    return priced.select(
-        F.col("l_linenumber").cast("bigint").alias("id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.col("price") * kept, 2).cast("decimal(10,2)").alias("unit_price"),
+    """A left join: a line whose part is unknown stays, without a price, for the checks to report.
+
+    Price and discount have two decimals, so the price paid is worked out in whole cents, half a cent rounding up.
+    """
+    prices = part.selectExpr("p_partkey", "CAST(rint(p_retailprice * 100) AS BIGINT) AS cents")
+    paid_cents = "(cents * (100 - CAST(rint(l_discount * 100) AS INT)) + 50) DIV 100"
+    return lineitem.join(prices, F.col("l_partkey") == F.col("p_partkey"), "left").selectExpr(
+        *_LINE, f"CAST(CAST({paid_cents} AS DECIMAL(10,0)) * 0.01 AS DECIMAL(10,2)) AS unit_price"
     )
 
 
 def shipped_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Lines next to the date of their order: line_id, order_id, order_date, ship_date."""
-    orders = _orders(read_star(spark, root, "orders")).select(F.col("id").alias("order_id"), "order_date")
-    lines = read_star(spark, root, "lineitem").select(
-        F.col("l_linenumber").cast("bigint").alias("id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_shipdate").cast("date").alias("ship_date"),
+    """Lines next to the date of their order: id, order_id, order_date, ship_date."""
+    orders = read_star(spark, root, "orders").selectExpr("o_orderkey", "CAST(o_orderdate AS DATE) AS order_date")
+    lines = read_star(spark, root, "lineitem")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "CAST(l_linenumber AS BIGINT) AS id",
+        "l_orderkey AS order_id",
+        "order_date",
+        "CAST(l_shipdate AS DATE) AS ship_date",
     )
-    return lines.join(orders, "order_id").select("id", "order_id", "order_date", "ship_date")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Iterable, Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +13,64 @@ from storeledger.functions.text import canonical
 from storeledger.sources.schema import ALL_TABLES
 
 
-@dataclass(frozen=True)
+Frame = DataFrame | Callable[[], DataFrame]
+
+
 class Tables:
-    """Base tables, plus snapshots that jobs read instead of recomputing when they are given."""
+    """The four base tables, plus snapshots that jobs read instead of recomputing when they are given.
+
+    A table may be given as a function; it is then built when a job first asks for it, so that a job over orders does
+    not pay for binding products.
+    """
 
-    customers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_lines: DataFrame
-    order_amounts: DataFrame | None = None
-    monthly_revenue: DataFrame | None = None
+    def __init__(
+        self,
+        customers: Frame,
+        products: Frame,
+        orders: Frame,
+        order_lines: Frame,
+        order_amounts: Frame | None = None,
+        monthly_revenue: Frame | None = None,
+    ) -> None:
+        self._sources = {
+            "customers": customers,
+            "products": products,
+            "orders": orders,
+            "order_lines": order_lines,
+            "order_amounts": order_amounts,
+            "monthly_revenue": monthly_revenue,
+        }
+
+    def _frame(self, name: str) -> DataFrame | None:
+        source = self._sources[name]
+        return source() if callable(source) else source
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._frame("customers")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._frame("products")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._frame("orders")
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        return self._frame("order_lines")
+
+    @cached_property
+    def order_amounts(self) -> DataFrame | None:
+        return self._frame("order_amounts")
+
+    @cached_property
+    def monthly_revenue(self) -> DataFrame | None:
+        return self._frame("monthly_revenue")
+
+    def replaced(self, **frames: Frame | None) -> Tables:
+        return Tables(**(self._sources | frames))
 
     def in_period(self, start: str, end: str) -> Tables:
         """The same shop seen through the orders dated from `start` to `end`, both included.
@@ -31,13 +79,12 @@ class Tables:
         by adaptive skew handling instead of landing in one task.
         """
         orders = self.orders.filter(between_dates(start, end))
-        return replace(
-            self,
+        kept = orders.select(F.col("id").alias("order_id"))
+        amounts = self.order_amounts
+        return self.replaced(
             orders=orders,
-            order_lines=self.order_lines.join(
-                orders.select(F.col("id").alias("order_id")), "order_id", "left_semi"
-            ).select(*self.order_lines.columns),
-            order_amounts=self.order_amounts.filter(between_dates(start, end)) if self.order_amounts else None,
+            order_lines=lambda: self.order_lines.join(kept, "order_id", "left_semi").select(*self.order_lines.columns),
+            order_amounts=None if amounts is None else amounts.filter(between_dates(start, end)),
             monthly_revenue=None,
         )
 

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the driver's tables."""
+"""Every registered query against its SQL: names, types and whole results."""
 
 import os
 from pathlib import Path
@@ -7,24 +7,49 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from star_fixtures import EDGES, EMPTY, write_star
 
 ROOT = Path(os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01"))
 QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
+TYPE_NAMES = {"string": "varchar", "int": "integer"}
 
-pytestmark = pytest.mark.skipif(not ROOT.exists(), reason="driver tables not present")
+
+def _connect(root):
+    connection = duckdb.connect()
+    for table in root.glob("*.parquet"):
+        files = f"{table}/*.parquet" if table.is_dir() else table
+        connection.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{files}'")
+    return root, connection
 
 
 @pytest.fixture(scope="module")
-def oracle():
-    connection = duckdb.connect()
-    for file in ROOT.glob("*.parquet"):
-        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
-    return connection
+def given():
+    if not ROOT.exists():
+        pytest.skip("driver tables not present")
+    return _connect(ROOT)
+
+
+@pytest.fixture(scope="module")
+def edges(spark, tmp_path_factory):
+    return _connect(write_star(spark, tmp_path_factory.mktemp("edges"), EDGES))
+
+
+@pytest.fixture(scope="module")
+def empty(spark, tmp_path_factory):
+    return _connect(write_star(spark, tmp_path_factory.mktemp("empty"), EMPTY))
 
 
-def _sorted(rows):
-    return sorted(rows, key=repr)
+def _compare(spark, shop, name):
+    root, connection = shop
+    result = QUERIES[name](spark, str(root))
+    relation = connection.sql(ORACLE[name])
+    types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in result.schema}
+    assert types == {c: str(t).lower() for c, t in zip(relation.columns, relation.types)}
+    columns = sorted(types)
+    ours = [tuple(row[c] for c in columns) for row in result.collect()]
+    theirs = [tuple(row[relation.columns.index(c)] for c in columns) for row in relation.fetchall()]
+    assert sorted(ours, key=repr) == sorted(theirs, key=repr)
 
 
 def test_every_query_has_sql():
@@ -32,21 +57,19 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_sql(spark, oracle, name):
-    result = QUERIES[name](spark, str(ROOT))
-    relation = oracle.sql(ORACLE[name])
-    assert sorted(result.columns) == sorted(relation.columns)
-    columns = sorted(result.columns)
-    spark_rows = [tuple(row[c] for c in columns) for row in result.collect()]
-    oracle_rows = [tuple(row[relation.columns.index(c)] for c in columns) for row in relation.fetchall()]
-    assert _sorted(spark_rows) == _sorted(oracle_rows)
+def test_given_tables(spark, given, name):
+    _compare(spark, given, name)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_types_match_sql(spark, oracle, name):
-    result = QUERIES[name](spark, str(ROOT))
-    relation = oracle.sql(ORACLE[name])
-    theirs = {c: str(t).lower() for c, t in zip(relation.columns, relation.types)}
-    same = {"string": "varchar", "int": "integer"}
-    ours = {f.name: same.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in result.schema}
-    assert ours == theirs
+def test_edge_cases(spark, edges, name):
+    _compare(spark, edges, name)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, empty, name):
+    _compare(spark, empty, name)
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns == ["category", "revenue", "units"]
