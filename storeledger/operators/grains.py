@@ -2,6 +2,9 @@
 
 The rule throughout: aggregate the big side down to the join key first, then join key to key. Partial aggregation runs
 before the shuffle, so a product, customer or order that owns a third of all rows reaches the join as one row.
+
+Where rows must join undiminished, they are the preserved or probe side and both inputs are fresh shuffles: that is the
+shape in which adaptive execution splits a hot key over several tasks.
 """
 
 from __future__ import annotations
@@ -11,12 +14,12 @@ from pyspark.sql import functions as F
 
 from storeledger.config import Rules
 from storeledger.functions.measures import MONEY, is_valid_order, line_amount
-from storeledger.sources.tables import Tables
+from storeledger.sources.tables import Tables, lines_of
 
 
 def line_totals(tables: Tables) -> DataFrame:
-    """order_id, total over all lines of the order, whatever its status."""
-    return tables.order_lines.groupBy("order_id").agg(F.sum(line_amount()).alias("total"))
+    """order_id, total over all lines of the order, whatever its status or date: the join with orders selects."""
+    return tables.stored_lines.groupBy("order_id").agg(F.sum(line_amount()).alias("total"))
 
 
 def order_amounts(tables: Tables, rules: Rules) -> DataFrame:
@@ -30,9 +33,7 @@ def order_amounts(tables: Tables, rules: Rules) -> DataFrame:
 
 
 def valid_lines(tables: Tables, rules: Rules) -> DataFrame:
-    """Lines of valid orders. Lines are the probe side, the one AQE can split when an order is hot."""
-    orders = tables.orders.filter(is_valid_order(rules)).select(F.col("id").alias("order_id"))
-    return tables.order_lines.join(orders, "order_id", "left_semi")
+    return lines_of(tables.stored_lines, tables.orders.filter(is_valid_order(rules)))
 
 
 def customer_sales(amounts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from storeledger.config import Rules
 from storeledger.operators.grains import order_amounts
 from storeledger.operators.periods import monthly_revenue
 from storeledger.sources.schema import TableSpec
-from storeledger.sources.sinks import checkpointed, write_table
+from storeledger.sources.sinks import staged, write_table
 from storeledger.sources.tables import Tables
 
 
@@ -35,7 +35,7 @@ def delete_cascade(
 
     The large tables are on the preserved side of each anti join, where a hot key can be split.
     """
-    keys = doomed.select(key).distinct()
+    keys = doomed.select(key)
     child_keys = keys.withColumnRenamed(key, child_key)
     return (
         parents.join(keys, key, "left_anti").select(*parents.columns),
@@ -46,19 +46,19 @@ def delete_cascade(
 def delete_restrict_blockers(doomed: DataFrame, children: DataFrame, child_key: str, key: str = "id") -> DataFrame:
     """Keys in `doomed` that may not be deleted because child rows use them, with the number of those rows."""
     used = children.groupBy(F.col(child_key).alias(key)).agg(F.count("*").alias("children"))
-    return used.join(doomed.select(key).distinct(), key, "left_semi")
+    return used.join(doomed.select(key), key, "left_semi")
 
 
 def assign_ids(incoming: DataFrame, existing: DataFrame, id_column: str = "id") -> DataFrame:
     """`incoming` with consecutive ids that continue after the largest one in `existing`.
 
     Each row's id is its partition's offset plus its position in the partition: no shuffle and no global sort of the
-    rows. Positions depend on how rows fell into partitions, so they are frozen in reliable storage before the offsets
+    rows. Positions depend on how rows fell into partitions, so they are written to shared storage before the offsets
     are computed; a task rerun after a lost executor then reads the same positions. The running sum covers one row per
     partition, which also bounds what is broadcast.
     """
     position_bits = (1 << 33) - 1
-    placed = checkpointed(
+    placed = staged(
         incoming.drop(id_column).select(
             "*",
             F.spark_partition_id().alias("_part"),

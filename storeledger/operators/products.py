@@ -46,10 +46,16 @@ def _cover(tables: Tables, rules: Rules) -> DataFrame:
     """Per sold product: units, units sold in big baskets, and risk class.
 
     Classes compare stock * months with bound * units, the division-free form, which is exact on the bounds.
+
+    Order amounts computed in the same plan are already partitioned by order, and Spark would join lines to them in
+    place, where a hot order cannot be split. Joining on the complement of the id gives both sides a fresh shuffle; the
+    extra one moves an id and a flag per order.
     """
-    baskets = order_amounts(tables, rules).select("order_id", (F.col("total") >= rules.big_basket).alias("is_big"))
+    order_key = F.bitwise_not("order_id").alias("order_key")
+    baskets = order_amounts(tables, rules).select(order_key, (F.col("total") >= rules.big_basket).alias("is_big"))
+    lines = tables.stored_lines.select(order_key, "product_id", "quantity")
     sales = (
-        tables.order_lines.join(baskets, "order_id")
+        lines.join(baskets, "order_key")
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("units"),

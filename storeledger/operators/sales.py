@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.config import Rules
-from storeledger.functions.measures import is_valid_order, line_amount, month_start, percent, ratio, total
-from storeledger.functions.measures import MONEY
+from storeledger.functions.measures import MONEY, is_valid_order, line_amount, month_start, percent, ratio, total
 from storeledger.functions.ordering import asc, desc, present, text
 from storeledger.operators.grains import customer_sales, line_totals, order_amounts, valid_lines
 from storeledger.sources.tables import Tables
@@ -35,8 +34,8 @@ def revenue_by_category(tables: Tables, rules: Rules) -> DataFrame:
 
 def category_shares(tables: Tables, rules: Rules) -> DataFrame:
     """Share of each category in revenue, one decimal."""
-    per_category = revenue_by_category(tables, rules.unordered())
-    shares = with_share(per_category, revenue="revenue_pct").select("category", "revenue", "revenue_pct")
+    per_category = revenue_by_category(tables, rules.unordered()).select("category", "revenue")
+    shares = with_share(per_category, revenue="revenue_pct")
     return present(shares, rules, desc("revenue"), text("category", rules))
 
 
@@ -158,7 +157,8 @@ def with_share(df: DataFrame, digits: int = 1, **shares: str) -> DataFrame:
     """Add, for each measure=alias, the measure's percentage of its total over all rows of `df`.
 
     The totals are one row, read as a scalar subquery. They keep every measure of `df`, so both branches have the same
-    aggregation below them and Spark runs its shuffle once.
+    aggregation below them and Spark runs its shuffle once. Drop unused measures before the call, not after it: pruned
+    on one side only, the branches would differ and the input would be read twice.
     """
     measures = [f.name for f in df.schema if f.dataType.typeName() in ("decimal", "long")]
     totals = df.agg(F.struct(*[F.sum(m).alias(m) for m in measures]).alias("totals")).scalar()

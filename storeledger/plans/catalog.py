@@ -25,9 +25,9 @@ QUIET_QUARTER = ("1996-01-01", "1996-03-31")
 ACTIVITY_DAY = datetime.date(2000, 12, 31)
 
 
-def _query(job: Job, prices: bool = True, signups: bool = False, period: tuple[str, str] | None = None) -> Query:
+def _query(job: Job, prices: bool = True, period: tuple[str, str] | None = None) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
-        tables = star_tables(spark, root, prices=prices, signups=signups)
+        tables = star_tables(spark, root, prices=prices)
         return job(tables.in_period(*period) if period else tables, STAR_RULES)
 
     return run
@@ -35,15 +35,14 @@ def _query(job: Job, prices: bool = True, signups: bool = False, period: tuple[s
 
 def _analyses() -> dict[str, Query]:
     unpriced = partial(_query, prices=False)
-    dated = partial(_query, prices=False, signups=True)
     in_quarter = partial(_query, prices=False, period=QUIET_QUARTER)
     return {
         # Listings, counts and amounts.
         "product_catalog": unpriced(explore.product_catalog),
         "products_above_price": unpriced(explore.products_above_price),
-        "customers_in_city": dated(explore.customers_in_city),
+        "customers_in_city": unpriced(explore.customers_in_city),
         "customers_per_city": unpriced(explore.customers_per_city),
-        "orders_with_customer": dated(explore.orders_with_customer),
+        "orders_with_customer": unpriced(explore.orders_with_customer),
         "line_amounts": _query(explore.line_amounts),
         "order_totals": _query(explore.order_totals),
         # Sales by category, product and customer.
@@ -70,8 +69,8 @@ def _analyses() -> dict[str, Query]:
         "monthly_summary": _query(periods.monthly_revenue),
         "monthly_summary_chrono": _query(periods.monthly_revenue_chrono),
         # Products without sales, data quality.
-        "orders_before_signup": dated(quality.orders_before_signup),
-        "orders_before_signup_count": dated(quality.orders_before_signup_count),
+        "orders_before_signup": unpriced(quality.orders_before_signup),
+        "orders_before_signup_count": unpriced(quality.orders_before_signup_count),
         "products_never_ordered": unpriced(products.products_never_ordered),
         "products_never_ordered_in_quarter": in_quarter(products.products_never_ordered),
         "products_never_validly_sold": unpriced(products.products_never_validly_sold),
@@ -84,7 +83,7 @@ def _analyses() -> dict[str, Query]:
         "row_count_orders": unpriced(lambda t, r: explore.row_count(t.orders, "orders")),
         "row_count_order_lines": unpriced(lambda t, r: explore.row_count(t.order_lines, "order_lines")),
         "schema_report": _schema_report,
-        "missing_customers": dated(quality.missing_customers),
+        "missing_customers": unpriced(quality.missing_customers),
         "missing_products": unpriced(quality.missing_products),
         "missing_orders": unpriced(quality.missing_orders),
         "missing_order_lines": _query(quality.missing_order_lines),
@@ -97,8 +96,8 @@ def _analyses() -> dict[str, Query]:
         # Figures derived from the above.
         "basket_class_shares": _query(baskets.basket_class_shares),
         "semester_growth": _query(periods.semester_growth),
-        "anomalies_per_customer": dated(quality.anomalies_per_customer),
-        "anomaly_gap_range": dated(quality.anomaly_gap_range),
+        "anomalies_per_customer": unpriced(quality.anomalies_per_customer),
+        "anomaly_gap_range": unpriced(quality.anomaly_gap_range),
         "risk_class_counts": _query(products.risk_class_counts),
         "discount_rate_shares": _query(discounts.discount_rate_shares),
         "discount_cost_pct": _query(discounts.discount_cost_pct),
@@ -115,9 +114,7 @@ def _checks_and_maintenance() -> dict[str, Query]:
         "read_tables": _query(_table_profile),
         "write_table": _query(_stored_order_amounts),
         "export_result": _query(_exported_categories),
-        "check_not_null": _query(
-            lambda t, r: integrity.check_not_null(t.customers, t.customers.columns), prices=False, signups=True
-        ),
+        "check_not_null": unpriced(lambda t, r: integrity.check_not_null(t.customers, t.customers.columns)),
         "check_primary_key": unpriced(lambda t, r: integrity.check_primary_key(t.order_lines, "order_id", "id")),
         "check_unique": unpriced(lambda t, r: integrity.check_unique(t.products, "name")),
         "check_unique_email": unpriced(lambda t, r: integrity.check_unique(t.customers, "email")),

@@ -15,7 +15,7 @@ from storeledger.sources.tables import Tables
 # Only the columns a binding uses; the scan reads fewer still.
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
     "lineitem": (
@@ -43,40 +43,32 @@ def read_star(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).parquet(f"{root}/{table}.parquet")
 
 
-def star_tables(spark: SparkSession, root: str, prices: bool = True, signups: bool = False) -> Tables:
+def star_tables(spark: SparkSession, root: str, prices: bool = True) -> Tables:
     """Bind the star to `Tables`, lazily.
 
     The price paid is the catalogue price less the line's discount, which takes a join with `part`; `prices=False`
-    leaves the column and the join out for jobs that only count or add quantities. `signups=True` dates a customer's
-    signup from the first order with status F (NULL without one); otherwise the column is NULL.
-    Stored tables have both columns: bind once, write, and run every job from there.
+    leaves the column and the join out for jobs that only count or add quantities. A stored line has its price: bind
+    once, write, and run every job from there. The star has no signup date either; the account balance stands in for
+    it, one day per five units from 1995 on and none for a negative balance.
     """
     table = partial(read_star, spark, root)
     return Tables(
-        customers=lambda: _customers(table("customer"), table("nation"), table("orders") if signups else None),
+        customers=lambda: _customers(table("customer"), table("nation")),
         products=lambda: _products(table("part")),
         orders=lambda: _orders(table("orders")),
         order_lines=lambda: _priced_lines(table("lineitem"), table("part")) if prices else _lines(table("lineitem")),
     )
 
 
-def _customers(customer: DataFrame, nation: DataFrame, orders: DataFrame | None) -> DataFrame:
-    customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").selectExpr(
+def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").selectExpr(
         "c_custkey AS id",
         "c_name AS last_name",
         "c_mktsegment AS first_name",
         "concat(lower(replace(c_name, '#', '.')), '@example.com') AS email",
         "n_name AS city",
+        "CASE WHEN c_acctbal >= 0 THEN date_add(DATE'1995-01-01', CAST(floor(c_acctbal / 5) AS INT)) END AS signup_date",
     )
-    if orders is None:
-        return customers.selectExpr("*", "CAST(NULL AS DATE) AS signup_date")
-    first_delivery = (
-        _orders(orders)
-        .filter("status = 'F'")
-        .groupBy(F.col("customer_id").alias("id"))
-        .agg(F.min("order_date").alias("signup_date"))
-    )
-    return customers.join(first_delivery, "id", "left")
 
 
 def _products(part: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ class Tables:
         order_lines: Frame,
         order_amounts: Frame | None = None,
         monthly_revenue: Frame | None = None,
+        stored_lines: Frame | None = None,
     ) -> None:
         self._sources = {
             "customers": customers,
@@ -39,6 +40,7 @@ class Tables:
             "order_lines": order_lines,
             "order_amounts": order_amounts,
             "monthly_revenue": monthly_revenue,
+            "stored_lines": stored_lines,
         }
 
     def _frame(self, name: str) -> DataFrame | None:
@@ -69,26 +71,38 @@ class Tables:
     def monthly_revenue(self) -> DataFrame | None:
         return self._frame("monthly_revenue")
 
+    @cached_property
+    def stored_lines(self) -> DataFrame:
+        """All lines, for jobs that join them with `orders` anyway; `order_lines` when no period was chosen."""
+        lines = self._frame("stored_lines")
+        return self.order_lines if lines is None else lines
+
     def replaced(self, **frames: Frame | None) -> Tables:
         return Tables(**(self._sources | frames))
 
     def in_period(self, start: str, end: str) -> Tables:
         """The same shop seen through the orders dated from `start` to `end`, both included.
 
-        Lines follow their order through a semi join that leaves lines on the probe side, so a hot order is split
-        by adaptive skew handling instead of landing in one task.
+        `order_lines` follows the orders through a semi join with lines on the probe side, so a hot order is split by
+        adaptive skew handling instead of landing in one task.
         """
         orders = self.orders.filter(between_dates(start, end))
-        kept = orders.select(F.col("id").alias("order_id"))
         amounts = self.order_amounts
         return self.replaced(
             orders=orders,
-            order_lines=lambda: self.order_lines.join(kept, "order_id", "left_semi").select(*self.order_lines.columns),
+            order_lines=lambda: lines_of(self.stored_lines, orders),
             order_amounts=None if amounts is None else amounts.filter(between_dates(start, end)),
             monthly_revenue=None,
+            stored_lines=lambda: self.stored_lines,
         )
 
 
+def lines_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """The lines that belong to `orders`."""
+    keys = orders.select(F.col("id").alias("order_id"))
+    return lines.join(keys, "order_id", "left_semi").select(*lines.columns)
+
+
 def between_dates(start: str, end: str) -> Column:
     return F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 

@@ -15,15 +15,15 @@ EDGES = {
     "nation": [(0, "NATION_7"), (1, "NATION_1"), (2, "NATION_2")],
     # Customer 4 never ordered, 5 only cancelled; 6 has no known nation; 7 and 8 share a name; 9 has none.
     "customer": [
-        (1, "Customer#1", 0, "BUILDING"),
-        (2, "Customer#2", 0, "MACHINERY"),
-        (3, "Customer#3", 1, "BUILDING"),
-        (4, "Customer#4", 1, ""),
-        (5, "Customer#5", 0, "   "),
-        (6, "Customer#6", 77, "BUILDING"),
-        (7, "Twin", 1, "A"),
-        (8, "Twin", 1, "B"),
-        (9, None, 1, "C"),
+        (1, "Customer#1", 0, 1900.0, "BUILDING"),  # signs up on 1996-01-16
+        (2, "Customer#2", 0, 2730.0, "MACHINERY"),  # on 1996-06-30
+        (3, "Customer#3", 1, -0.01, "BUILDING"),
+        (4, "Customer#4", 1, 10.0, ""),
+        (5, "Customer#5", 0, 4.99, "   "),
+        (6, "Customer#6", 77, 0.0, "BUILDING"),
+        (7, "Twin", 1, 9999.99, "A"),
+        (8, "Twin", 1, 700.0, "B"),  # signs up on 1995-05-21, the day of an order and a day after another
+        (9, None, 1, None, "C"),
     ],
     # Part 5 sells only in a cancelled order, 6 never; 2 is free; 8 and 9 sit on the bounds of the stock cover classes.
     "part": [
@@ -42,7 +42,7 @@ EDGES = {
         (1, 1, "F", _day("1996-01-15")),  # total exactly on the lower bound
         (2, 1, "O", _day("1996-06-30")),  # total exactly on the upper bound
         (3, 1, "F", _day("1995-12-31")),  # no line
-        (4, 2, "O", _day("1995-01-01")),  # before the customer's first F order
+        (4, 2, "O", _day("1995-01-01")),  # before the customer signed up
         (5, 2, "F", _day("1996-07-01")),
         (6, 3, "P", _day("1996-02-01")),
         (7, 3, "F", _day("2000-12-31")),
