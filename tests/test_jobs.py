@@ -1,0 +1,343 @@
+"""Jobs on a small hand-made shop under the default rules."""
+
+import datetime
+import unicodedata
+from dataclasses import replace
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from storeledger import Rules
+from storeledger.operators import baskets, cities, discounts, explore, periods, products, quality, sales
+from storeledger.operators.grains import order_amounts
+from storeledger.sources.schema import ALL_TABLES
+from storeledger.sources.tables import read_tables, tables_from_rows
+
+RULES = Rules()
+CANCELLED = RULES.excluded_statuses[0]
+
+
+def D(text):
+    return datetime.date.fromisoformat(text)
+
+
+def M(text):
+    return Decimal(text)
+
+
+SHOP = {
+    "customers": [
+        (1, "Zola", "Éric", "eric@example.com", "Paris", D("2025-01-10")),
+        (2, "Eau", "Anna", "anna@example.com", "Paris", D("2025-03-01")),
+        (3, "Écran", "Zoé", "zoe@example.com", "Lyon", D("2024-01-01")),
+        (4, "Abel", "Max", "max@example.com", "Lyon", D("2024-01-01")),
+    ],
+    "products": [
+        (1, "lampe", "Maison", M("500.00"), 1),
+        (2, "souris", "Info", M("100.00"), 0),
+        (3, "échantillon", "Info", M("0.00"), 5),
+        (4, "bureau", "Maison", M("250.00"), 9),
+        (5, "chaise", "Maison", M("80.00"), 2),
+    ],
+    "orders": [
+        (10, 1, D("2025-01-09"), "livrée"),
+        (11, 1, D("2025-01-10"), "payée"),
+        (12, 1, D("2025-07-01"), "expédiée"),
+        (13, 2, D("2025-06-30"), "livrée"),
+        (14, 3, D("2026-01-01"), CANCELLED),
+        (15, 2, D("2026-02-02"), "payée"),
+    ],
+    "order_lines": [
+        (100, 10, 1, 1, M("500.00")),
+        (101, 11, 1, 3, M("500.00")),
+        (102, 12, 1, 1, M("400.00")),
+        (103, 12, 2, 1, M("99.99")),
+        (104, 13, 1, 2, M("475.00")),
+        (105, 13, 2, 6, M("91.67")),
+        (106, 13, 3, 4, M("0.00")),
+        (107, 14, 4, 2, M("250.00")),
+    ],
+}
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    return tables_from_rows(spark, SHOP)
+
+
+def rows(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_listings_sort_accents_next_to_their_letter(shop):
+    names = [r[0] for r in rows(explore.product_catalog(shop, RULES))]
+    assert names == ["échantillon", "souris", "bureau", "chaise", "lampe"]
+    customers = explore.customers_in_city(shop, replace(RULES, city="Lyon"))
+    assert [r.last_name for r in customers.collect()] == ["Abel", "Écran"]
+    assert rows(explore.products_above_price(shop, RULES)) == [
+        ("lampe", "Maison", M("500.00"), 1),
+        ("bureau", "Maison", M("250.00"), 9),
+    ]
+    assert rows(explore.customers_per_city(shop, RULES)) == [("Lyon", 2), ("Paris", 2)]
+
+
+def test_listings_include_cancelled_orders(shop):
+    assert rows(explore.line_amounts(shop, RULES))[-1] == (107, 14, 4, 2, M("250.00"), M("500.00"))
+    totals = {r.id: r.total for r in explore.order_totals(shop, RULES).collect()}
+    assert totals[14] == M("500.00")
+    assert totals[15] == 0
+    joined = rows(explore.orders_with_customer(shop, RULES))
+    assert [r[0] for r in joined] == [10, 11, 13, 12, 14, 15]
+    assert joined[0][3:5] == (1, "Zola")
+
+
+def test_order_amounts_leave_out_cancelled_and_empty_orders(shop):
+    amounts = {r.order_id: r.total for r in order_amounts(shop, RULES).collect()}
+    assert amounts == {10: M("500.00"), 11: M("1500.00"), 12: M("499.99"), 13: M("1500.02")}
+
+
+def test_basket_bounds_belong_to_the_class_above(shop):
+    classed = rows(baskets.classify_baskets(shop, RULES))
+    assert [(r[0], r[4]) for r in classed] == [
+        (13, "Gros panier"),
+        (11, "Gros panier"),
+        (10, "Panier moyen"),
+        (12, "Petit panier"),
+    ]
+    assert rows(baskets.basket_class_shares(shop, RULES)) == [
+        ("Gros panier", 2, M("3000.02"), M("50.0"), M("75.0")),
+        ("Panier moyen", 1, M("500.00"), M("25.0"), M("12.5")),
+        ("Petit panier", 1, M("499.99"), M("25.0"), M("12.5")),
+    ]
+
+
+def test_customers(shop):
+    assert rows(sales.customer_spend(shop, RULES)) == [
+        (1, "Zola", "Éric", 3, M("2499.99")),
+        (2, "Eau", "Anna", 2, M("1500.02")),
+        (3, "Écran", "Zoé", 1, M("0.00")),
+        (4, "Abel", "Max", 0, M("0.00")),
+    ]
+    assert [r.id for r in quality.customers_without_orders(shop, RULES).collect()] == [4]
+    best = rows(sales.top_customers(shop, replace(RULES, top_customers=1)))
+    assert best == [(1, "Zola", "Éric", "Paris", 3, M("2499.99"), M("833.33"))]
+
+
+def test_headline_figures(shop):
+    assert rows(sales.basket_kpis(shop, RULES)) == [(M("4000.01"), 4, M("1000.00"))]
+    assert rows(sales.sales_kpis(shop, RULES)) == [(M("4000.01"), 4, M("1000.00"), 2)]
+    assert rows(sales.cancellation_rate(shop, RULES)) == [(6, 1, M("16.67"))]
+
+
+def test_activity_window_starts_the_day_after_the_same_day_a_year_before(shop):
+    window = rows(sales.active_customers_window(shop, replace(RULES, active_months=6), D("2025-07-10")))
+    assert window == [(M("2000.01"), 2, M("1000.01"), 2)]
+    assert rows(sales.active_customers_window(shop, RULES, D("2030-01-01"))) == [(None, 0, None, 0)]
+
+
+def test_products_without_sales(shop):
+    never = [r.name for r in products.products_never_ordered(shop, RULES).collect()]
+    assert never == ["chaise"]
+    assert [r.name for r in products.products_never_validly_sold(shop, RULES).collect()] == ["bureau", "chaise"]
+    assert rows(products.unsold_stock_value(shop, RULES)) == [(1, M("160.00"))]
+
+
+def test_stock_cover(shop):
+    cover = {r.name: r for r in products.stock_cover(shop, RULES).collect()}
+    assert list(cover) == ["souris", "lampe", "échantillon"]
+    assert cover["lampe"].units == 7 and cover["lampe"].units_per_month == M("0.6")
+    assert cover["lampe"].months_of_cover == M("1.7") and cover["lampe"].big_basket_pct == M("71.4")
+    assert [cover[n].risk_class for n in cover] == ["Risque élevé", "À surveiller", "Stock suffisant"]
+
+
+@pytest.mark.parametrize(
+    ("stock", "units", "risk"),
+    [
+        (2, 8, "Stock suffisant"),  # exactly 3 months: a rounded quotient would say less
+        (1, 12, "À surveiller"),  # exactly 1
+        (1, 13, "Risque élevé"),
+        (299, 1197, "À surveiller"),
+    ],
+)
+def test_cover_bounds_are_exact(spark, stock, units, risk):
+    tables = tables_from_rows(
+        spark,
+        {
+            "customers": SHOP["customers"],
+            "products": [(1, "p", "c", M("10.00"), stock)],
+            "orders": [(1, 1, D("2025-01-01"), "payée")],
+            "order_lines": [(1, 1, 1, units, M("10.00"))],
+        },
+    )
+    assert products.stock_cover(tables, RULES).first().risk_class == risk
+
+
+def test_discounts(shop):
+    assert rows(discounts.discount_overview(shop, RULES)) == [
+        (7, 4, M("57.1"), M("4200.00"), M("4000.01"), M("199.99"))
+    ]
+    by_rate = {r.discount_pct: r for r in discounts.discount_by_rate(shop, RULES).collect()}
+    # A catalogue price of 0 has no rate.
+    assert set(by_rate) == {0, 5, 8, 20, None}
+    assert by_rate[0].lines == 3 and by_rate[0].units_per_line == M("1.67")
+    assert rows(discounts.lines_above_catalogue(shop, RULES)) == [(0,)]
+    assert rows(discounts.discount_cost_pct(shop, RULES)) == [(M("4200.00"), M("199.99"), M("4.8"))]
+
+
+def test_paid_above_catalogue_is_a_negative_rate(spark):
+    tables = tables_from_rows(
+        spark,
+        {
+            "customers": SHOP["customers"],
+            "products": [(1, "p", "c", M("200.00"), 1)],
+            "orders": [(1, 1, D("2025-01-01"), "payée")],
+            "order_lines": [(1, 1, 1, 1, M("201.00")), (2, 1, 1, 1, M("203.00"))],
+        },
+    )
+    rates = rows(discounts.discount_by_rate(tables, RULES).select("discount_pct", "lines"))
+    assert rates == [(-2, 1), (-1, 1)]  # half a percent rounds away from zero
+    assert rows(discounts.lines_above_catalogue(tables, RULES)) == [(2,)]
+
+
+def test_periods(shop):
+    months = rows(periods.monthly_revenue_chrono(shop, RULES))
+    assert months == [
+        ("2025-01", 2, M("2000.00"), M("1000.00")),
+        ("2025-06", 1, M("1500.02"), M("1500.02")),
+        ("2025-07", 1, M("499.99"), M("499.99")),
+    ]
+    assert rows(periods.semester_summary(shop, RULES)) == [
+        ("2025 - 1er semestre", 3, M("3500.02")),
+        ("2025 - 2e semestre", 1, M("499.99")),
+    ]
+    growth = rows(periods.semester_growth(shop, RULES))
+    assert growth[0][3:] == (M("1166.67"), None, None)
+    assert growth[1][3:] == (M("499.99"), M("-85.7"), M("-57.1"))
+    assert [r.month for r in periods.best_months(shop, replace(RULES, top_months=2)).collect()] == ["2025-01", "2025-06"]
+    assert [r.month for r in periods.worst_months(shop, replace(RULES, top_months=1)).collect()] == ["2025-07"]
+
+
+def test_equal_months_at_the_edge_of_a_top_list(spark):
+    tables = tables_from_rows(
+        spark,
+        {
+            "customers": SHOP["customers"],
+            "products": SHOP["products"],
+            "orders": [(i, 1, datetime.date(2025, i, 1), "payée") for i in range(1, 10)],
+            "order_lines": [(i, i, 1, 1, M("500.00")) for i in range(1, 10)],
+        },
+    )
+    assert [r.month for r in periods.best_months(tables, RULES).collect()] == [f"2025-0{i}" for i in range(1, 7)]
+    assert [r.month for r in periods.worst_months(tables, RULES).collect()] == [f"2025-0{i}" for i in range(1, 7)]
+
+
+def test_orders_before_signup(shop):
+    assert rows(quality.orders_before_signup(shop, RULES)) == [(10, 1, D("2025-01-09"), D("2025-01-10"), 1, "livrée")]
+    assert rows(quality.anomalies_per_customer(shop, RULES)) == [(1, 1)]
+
+
+def test_cities(shop):
+    assert rows(cities.revenue_by_city(shop, RULES)) == [
+        ("Paris", 2, 4, M("4000.01"), M("1000.00"), M("2000.01"), M("100.0"))
+    ]
+
+
+def test_parts_add_up_to_the_whole(shop):
+    revenue = sales.basket_kpis(shop, RULES).first().revenue
+    for job, column in [
+        (sales.revenue_by_category, "revenue"),
+        (sales.products_by_revenue, "revenue"),
+        (sales.customer_spend, "spend"),
+        (sales.basket_by_month, "revenue"),
+        (baskets.basket_class_summary, "revenue"),
+        (periods.semester_summary, "revenue"),
+        (discounts.discount_by_rate, "revenue"),
+        (cities.revenue_by_city, "revenue"),
+    ]:
+        assert job(shop, RULES).agg(F.sum(column)).first()[0] == revenue
+    overview = discounts.discount_overview(shop, RULES).first()
+    assert overview.revenue + overview.discount == overview.catalogue_revenue
+    by_category = discounts.discount_by_category(shop, RULES).agg(F.sum("lines"), F.sum("discount")).first()
+    assert tuple(by_category) == (overview.lines, overview.discount)
+
+
+def test_period_gives_the_same_figures_as_a_shop_of_those_orders(spark, shop):
+    start, end = D("2025-01-10"), D("2025-07-01")
+    kept = [o for o in SHOP["orders"] if start <= o[2] <= end]
+    ids = {o[0] for o in kept}
+    alone = tables_from_rows(
+        spark, SHOP | {"orders": kept, "order_lines": [line for line in SHOP["order_lines"] if line[1] in ids]}
+    )
+    period = shop.in_period(str(start), str(end))
+    for job in (
+        explore.order_totals,
+        explore.line_amounts,
+        sales.revenue_by_category,
+        sales.customer_spend,
+        sales.sales_kpis,
+        products.products_never_ordered,
+        products.products_never_validly_sold,
+        products.stock_cover,
+        discounts.discount_overview,
+    ):
+        assert sorted(rows(job(period, RULES)), key=repr) == sorted(rows(job(alone, RULES)), key=repr)
+
+
+def test_missing_values(spark):
+    customers = spark.createDataFrame(
+        [(1, None, "", "a@b", "  ", None), (2, "x", " y ", None, "Paris", D("2025-01-01"))],
+        "id bigint, last_name string, first_name string, email string, city string, signup_date date",
+    )
+    shop = tables_from_rows(spark, {}).replaced(customers=customers)
+    assert rows(quality.missing_customers(shop, RULES)) == [(1, 1, 1, 1, 1)]
+    orders = spark.createDataFrame(
+        [(1, None, None, ""), (2, 5, D("2025-01-01"), None)],
+        "id bigint, customer_id bigint, order_date date, status string",
+    )
+    assert rows(quality.missing_orders(shop.replaced(orders=orders), RULES)) == [(1, 1, 1)]
+
+
+def test_schema_report_of_the_declared_tables(spark):
+    report = explore.schema_report(spark, {spec.name: spec.schema for spec in ALL_TABLES})
+    described = {(r.table_name, r.column_name): r for r in report.collect()}
+    assert len(described) == 20
+    email = described["customers", "email"]
+    assert (email.position, email.data_type, email.max_length, email.is_nullable) == (4, "VARCHAR", 100, "NO")
+    assert described["products", "price"].data_type == "DECIMAL(10,2)"
+
+
+def test_required_columns_reject_null_rows(spark):
+    with pytest.raises(Exception, match="(?i)null|none"):
+        tables_from_rows(spark, {"orders": [(1, None, D("2025-01-01"), "payée")]})
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_read_tables(spark, shop, tmp_path, fmt):
+    for spec in ALL_TABLES:
+        getattr(shop, spec.name).write.format(fmt).option("header", True).save(f"{tmp_path}/{spec.name}")
+    read = read_tables(spark, str(tmp_path), fmt)
+    for spec in ALL_TABLES:
+        assert getattr(read, spec.name).schema.names == spec.schema.names
+    assert rows(sales.basket_kpis(read, RULES)) == rows(sales.basket_kpis(shop, RULES))
+
+
+def test_csv_with_a_bad_value_is_refused(spark, shop, tmp_path):
+    for spec in ALL_TABLES:
+        getattr(shop, spec.name).write.option("header", True).csv(f"{tmp_path}/{spec.name}")
+    (tmp_path / "orders" / "extra.csv").write_text("id,customer_id,order_date,status\nx,1,2025-01-01,payée\n")
+    with pytest.raises(Exception, match="(?i)malformed|cannot be cast|parse"):
+        read_tables(spark, str(tmp_path), "csv").orders.collect()
+
+
+def test_statuses_in_another_unicode_form(spark, shop, tmp_path):
+    decomposed = [(i, c, d, unicodedata.normalize("NFD", s)) for i, c, d, s in SHOP["orders"]]
+    assert decomposed[4][3] != CANCELLED
+    respelled = tables_from_rows(spark, SHOP | {"orders": decomposed})
+    for spec in ALL_TABLES:
+        getattr(respelled, spec.name).write.parquet(f"{tmp_path}/{spec.name}")
+    plain = read_tables(spark, str(tmp_path))
+    assert sales.cancellation_rate(plain, RULES).first().cancelled_orders == 0
+    mapped = read_tables(spark, str(tmp_path), rules=RULES)
+    assert rows(sales.cancellation_rate(mapped, RULES)) == rows(sales.cancellation_rate(shop, RULES))
+    assert rows(sales.sales_kpis(mapped, RULES)) == rows(sales.sales_kpis(shop, RULES))
