@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.config import Rules
+from storeledger.functions.measures import is_valid_order
 from storeledger.operators import baskets, cities, discounts, explore, integrity, maintain, periods, products, quality, sales
-from storeledger.operators.grains import order_amounts, valid_lines
+from storeledger.operators.grains import order_amounts
 from storeledger.sources.schema import PRODUCTS, Minimum
 from storeledger.sources.sinks import export_result, shared_folder, write_table
 from storeledger.sources.star import SCHEMAS, STAR_RULES, read_star, shipped_lines, star_tables
@@ -142,7 +143,7 @@ def _checks_and_maintenance() -> dict[str, Query]:
 
 
 def _valid_orders(tables: Tables, rules: Rules) -> DataFrame:
-    return tables.orders.filter(~F.col("status").isin(*rules.excluded_statuses))
+    return tables.orders.filter(is_valid_order(rules))
 
 
 def _schema_report(spark: SparkSession, root: str) -> DataFrame:

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+from storeledger.config import Rules
+
 
 def _text(name: str, length: int) -> T.StructField:
     return T.StructField(name, T.StringType(), False, {"max_length": length})
@@ -94,8 +96,7 @@ ORDERS = TableSpec(
         ]
     ),
     references=(Reference("customer_id", "customers", "restrict"),),
-    # The statuses an order may have.
-    domains={"status": ("payée", "expédiée", "livrée", "annulée")},
+    domains={"status": Rules().statuses},
 )
 
 ORDER_LINES = TableSpec(

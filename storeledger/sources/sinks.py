@@ -21,12 +21,15 @@ def write_table(
     `bucket_by=(n, "order_id")` on both orders and lines lets later joins and per-order sums skip the shuffle. It also
     ties a bucket to one task, so leave it out where one key holds a large share of the rows.
     """
-    writer = _rebalanced(df, partition_by).write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if bucket_by:
+        # The bucket of a row is its hash partition, so each task writes the one file of its bucket.
         count, key = bucket_by
-        writer = writer.bucketBy(count, key).sortBy(key)
+        writer = df.repartition(count, key).write.bucketBy(count, key).sortBy(key)
+    else:
+        writer = _rebalanced(df, partition_by).write
+    writer = writer.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
