@@ -6,38 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.config import Rules
-from storeledger.functions.measures import percent, ratio, total
+from storeledger.functions.measures import ratio, total
 from storeledger.functions.ordering import desc, present, text
 from storeledger.operators.grains import customer_sales, order_amounts
+from storeledger.operators.sales import with_share
 from storeledger.sources.tables import Tables
 
 
 def revenue_by_city(tables: Tables, rules: Rules) -> DataFrame:
-    """Customers are counted from their subtotals, so no distinct count is needed. The share is of all valid sales,
-    those of unknown customers included; the scalar subquery repeats the same subtotals so that Spark reuses them."""
+    """Customers are counted from their subtotals, so no distinct count is needed. The share is of all valid sales, those
+    of unknown customers included.
+
+    Unknown customers stay in the plan as a group of their own until the totals are taken: report and totals then rest
+    on the same city subtotals, which Spark computes once. The last filter is on an aggregate, so it is not pushed below.
+    """
     sales = customer_sales(order_amounts(tables, rules))
-    shop = sales.agg(
-        F.struct(*[F.sum(c).alias(c) for c in ("orders", "priced_orders", "revenue")]).alias("totals")
-    ).scalar()
-    cities = tables.customers.select(F.col("id").alias("customer_id"), "city")
+    cities = tables.customers.select(F.col("id").alias("customer_id"), "city", F.lit(True).alias("known"))
     per_city = (
-        sales.join(cities, "customer_id")
-        .groupBy("city")
+        sales.join(cities, "customer_id", "left")
+        .groupBy("city", "known")
         .agg(
             F.count("*").alias("customers"),
             F.sum("orders").alias("orders"),
             F.sum("priced_orders").alias("priced_orders"),
             total("revenue").alias("revenue"),
+            F.count("known").alias("known_customers"),
         )
     )
+    shares = with_share(per_city, revenue="revenue_pct")
     revenue = F.col("revenue")
-    report = per_city.select(
+    report = shares.filter(F.col("known_customers") > 0).select(
         "city",
         "customers",
         "orders",
         "revenue",
         ratio(revenue, F.col("priced_orders"), 2).alias("average_basket"),
         ratio(revenue, F.col("customers"), 2).alias("revenue_per_customer"),
-        percent(revenue, shop.getField("revenue"), 1).alias("revenue_pct"),
+        "revenue_pct",
     )
     return present(report, rules, desc("revenue"), text("city", rules))
