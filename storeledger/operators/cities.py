@@ -17,8 +17,7 @@ def revenue_by_city(tables: Tables, rules: Rules) -> DataFrame:
     """Customers are counted from their subtotals, so no distinct count is needed. The share is of all valid sales, those
     of unknown customers included.
 
-    Unknown customers stay in the plan as a group of their own until the totals are taken: report and totals then rest
-    on the same city subtotals, which Spark computes once. The last filter is on an aggregate, so it is not pushed below.
+    Unknown customers stay in the report as a group of their own until the shares are taken, so one pass serves both.
     """
     sales = customer_sales(order_amounts(tables, rules))
     cities = tables.customers.select(F.col("id").alias("customer_id"), "city", F.lit(True).alias("known"))
@@ -30,12 +29,11 @@ def revenue_by_city(tables: Tables, rules: Rules) -> DataFrame:
             F.sum("orders").alias("orders"),
             F.sum("priced_orders").alias("priced_orders"),
             total("revenue").alias("revenue"),
-            F.count("known").alias("known_customers"),
         )
     )
     shares = with_share(per_city, revenue="revenue_pct")
     revenue = F.col("revenue")
-    report = shares.filter(F.col("known_customers") > 0).select(
+    report = shares.filter("known").select(
         "city",
         "customers",
         "orders",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.config import Rules
@@ -154,12 +154,12 @@ def top_customer_cities(tables: Tables, rules: Rules) -> DataFrame:
 
 
 def with_share(df: DataFrame, digits: int = 1, **shares: str) -> DataFrame:
-    """Add, for each measure=alias, the measure's percentage of its total over all rows of `df`.
+    """Add, for each measure=alias, the measure's percentage of its total over all rows of a finished report.
 
-    The totals are one row, read as a scalar subquery. They keep every measure of `df`, so both branches have the same
-    aggregation below them and Spark runs its shuffle once. Drop unused measures before the call, not after it: pruned
-    on one side only, the branches would differ and the input would be read twice.
+    The window has no partition because it sees one row per reported group, never facts. A scalar subquery over the same
+    aggregation would depend on adaptive execution planning both branches alike, or else read the facts twice.
     """
-    measures = [f.name for f in df.schema if f.dataType.typeName() in ("decimal", "long")]
-    totals = df.agg(F.struct(*[F.sum(m).alias(m) for m in measures]).alias("totals")).scalar()
-    return df.select("*", *[percent(F.col(m), totals.getField(m), digits).alias(a) for m, a in shares.items()])
+    whole_report = Window.partitionBy()
+    return df.select(
+        "*", *[percent(F.col(m), F.sum(m).over(whole_report), digits).alias(alias) for m, alias in shares.items()]
+    )
