@@ -73,8 +73,8 @@ _SEMESTERS = f"""SELECT CAST(year(order_date) AS VARCHAR) || ' - ' || CASE WHEN
         THEN '1er semestre' ELSE '2e semestre' END AS semester, {_ORDERS} AS orders, {_REVENUE} AS revenue
 FROM s_sales GROUP BY 1"""
 
-_CLASS = """CASE WHEN total IS NULL THEN 'Non calculable' WHEN total < 50000 THEN 'Petit panier'
-    WHEN total < 100000 THEN 'Panier moyen' ELSE 'Gros panier' END"""
+_CLASS = """CASE WHEN total >= 100000 THEN 'Gros panier' WHEN total >= 50000 THEN 'Panier moyen'
+    WHEN total IS NOT NULL THEN 'Petit panier' ELSE 'Non calculable' END"""
 
 _CLASSES = f"""SELECT {_CLASS} AS basket_class, COUNT(*) AS orders, {_money("SUM(total)")} AS revenue
 FROM s_amounts GROUP BY 1"""
@@ -86,15 +86,16 @@ FROM s_sales"""
 _COVER = f"""SELECT p.id, p.name, p.category, p.stock, {_count("SUM(s.quantity)")} AS units,
     {_ratio("SUM(s.quantity)", "80", 1)} AS units_per_month,
     {_ratio("p.stock * 80", "SUM(s.quantity)", 1)} AS months_of_cover,
-    {_percent("SUM(CASE WHEN a.total >= 100000 THEN s.quantity ELSE 0 END)", "SUM(s.quantity)", 1)} AS big_basket_pct,
-    CASE WHEN p.stock * 80 < SUM(s.quantity) THEN 'Risque élevé' WHEN p.stock * 80 < 3 * SUM(s.quantity)
-        THEN 'À surveiller' ELSE 'Stock suffisant' END AS risk_class
+    {_percent("COALESCE(SUM(s.quantity) FILTER (WHERE a.total >= 100000), 0)", "SUM(s.quantity)", 1)} AS big_basket_pct,
+    CASE WHEN COALESCE(p.stock * 80 >= 3 * SUM(s.quantity), TRUE) THEN 'Stock suffisant'
+        WHEN p.stock * 80 >= SUM(s.quantity) THEN 'À surveiller' ELSE 'Risque élevé' END AS risk_class
 FROM s_sales s JOIN s_amounts a ON a.order_id = s.order_id JOIN s_products p ON p.id = s.product_id
 GROUP BY p.id, p.name, p.category, p.stock"""
 
 _PRICED = "s_sales s JOIN s_products p ON p.id = s.product_id"
 _DISCOUNT = _money("SUM(quantity * (price - unit_price))")
-_DISCOUNTED = "SUM(CASE WHEN unit_price < price THEN 1 ELSE 0 END)"
+_DISCOUNTED = "SUM(CAST(COALESCE(unit_price < price, FALSE) AS INTEGER))"
+_CANCELLED = "SUM(CAST(COALESCE(status = 'P', FALSE) AS INTEGER))"
 
 _RATES = f"""SELECT CAST({_percent("price - unit_price", "price", 0)} AS INTEGER) AS discount_pct, COUNT(*) AS lines,
     {_count("SUM(quantity)")} AS units, {_ratio("SUM(quantity)", "COUNT(*)", 2)} AS units_per_line,
@@ -124,9 +125,10 @@ FROM (DESCRIBE {table})"""
 
 
 def _missing(table: str, columns: list[str], blanks: tuple[str, ...] = ()) -> str:
-    counts = [
-        f"COUNT(*) - COUNT({f'''NULLIF(TRIM({c}), '')''' if c in blanks else c}) AS {c}_missing" for c in columns
-    ]
+    def condition(column: str) -> str:
+        return f"{column} IS NULL OR trim({column}) = ''" if column in blanks else f"{column} IS NULL"
+
+    counts = [f"COUNT(*) FILTER (WHERE {condition(c)}) AS {c}_missing" for c in columns]
     return f"SELECT {', '.join(counts)} FROM {table}"
 
 
@@ -194,7 +196,7 @@ _QUERIES = {
     "products_by_revenue": f"""SELECT p.id, name, category, {_REVENUE} AS revenue
         FROM {_PRICED} GROUP BY p.id, name, category ORDER BY revenue DESC, p.id""",
     "customer_spend": f"""SELECT c.id, last_name, first_name, COUNT(DISTINCT o.id) AS orders,
-        {_money("COALESCE(SUM(CASE WHEN o.status <> 'P' THEN quantity * unit_price ELSE 0 END), 0)")} AS spend
+        {_money("COALESCE(SUM(quantity * unit_price) FILTER (WHERE o.status <> 'P'), 0)")} AS spend
         FROM s_customers c LEFT JOIN s_orders o ON o.customer_id = c.id LEFT JOIN s_lines l ON l.order_id = o.id
         GROUP BY c.id, last_name, first_name ORDER BY spend DESC, c.id""",
     "customers_without_orders": _IDLE.format(orders="s_orders"),
@@ -223,9 +225,8 @@ _QUERIES = {
               FROM ({_SEMESTERS}))""",
     "sales_kpis": _KPIS,
     "active_customers_window": f"{_KPIS} WHERE order_date > DATE '1999-12-31' AND order_date <= DATE '2000-12-31'",
-    "cancellation_rate": f"""SELECT COUNT(*) AS orders, {_count("SUM(CASE WHEN status = 'P' THEN 1 ELSE 0 END)")}
-        AS cancelled_orders, {_percent("SUM(CASE WHEN status = 'P' THEN 1 ELSE 0 END)", "COUNT(*)", 2)} AS cancelled_pct
-        FROM s_orders""",
+    "cancellation_rate": f"""SELECT COUNT(*) AS orders, {_count(_CANCELLED)} AS cancelled_orders,
+        {_percent(_CANCELLED, "COUNT(*)", 2)} AS cancelled_pct FROM s_orders""",
     "top_customers": _TOP_CUSTOMERS,
     "top_customer_cities": f"SELECT city, COUNT(*) AS customers FROM ({_TOP_CUSTOMERS}) GROUP BY city",
     "monthly_summary": _MONTHS,

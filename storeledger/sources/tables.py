@@ -116,11 +116,13 @@ def read_tables(
 ) -> Tables:
     """Read `<root>/<table>` with the declared schemas; no inference pass over the files.
 
+    CSV files need a header with the declared columns in order; a value of the wrong type stops the job.
+
     With `rules`, statuses in another Unicode spelling are mapped to the declared one here, once, so that every later
     filter is a plain comparison that still reaches the Parquet scan. Unknown statuses pass through unchanged for the
     quality checks to report.
     """
-    defaults = {"mode": "FAILFAST", "header": "true"} if fmt == "csv" else {}
+    defaults = {"mode": "FAILFAST", "header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
     reader_options = {**defaults, **(options or {})}
     frames = {
         spec.name: spark.read.schema(spec.schema).format(fmt).options(**reader_options).load(f"{root}/{spec.name}")

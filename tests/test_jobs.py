@@ -330,6 +330,14 @@ def test_csv_with_a_bad_value_is_refused(spark, shop, tmp_path):
         read_tables(spark, str(tmp_path), "csv").orders.collect()
 
 
+def test_csv_with_columns_in_another_order_is_refused(spark, shop, tmp_path):
+    for spec in ALL_TABLES:
+        frame = getattr(shop, spec.name)
+        frame.select(*reversed(frame.columns)).write.option("header", True).csv(f"{tmp_path}/{spec.name}")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_tables(spark, str(tmp_path), "csv").customers.collect()
+
+
 def test_statuses_in_another_unicode_form(spark, shop, tmp_path):
     decomposed = [(i, c, d, unicodedata.normalize("NFD", s)) for i, c, d, s in SHOP["orders"]]
     assert decomposed[4][3] != CANCELLED

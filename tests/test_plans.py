@@ -10,7 +10,7 @@ from star_fixtures import EDGES, write_star
 from storeledger import Tables
 from storeledger.operators import discounts, explore, maintain, products, quality, sales
 from storeledger.operators.grains import valid_lines
-from storeledger.sources.star import STAR_RULES
+from storeledger.sources.star import STAR_RULES, star_tables
 
 QUERIES = contract.queries()
 
@@ -64,6 +64,13 @@ def test_shares_read_the_facts_once(spark, root, name):
     assert sorted(executed) == ["l_orderkey", "o_orderkey"]
 
 
+def test_unordered_rules_drop_the_final_sort(spark, root):
+    shop = star_tables(spark, root)
+    for job in (explore.line_amounts, explore.orders_with_customer, sales.revenue_by_category):
+        assert "rangepartitioning" in _plan(job(shop, STAR_RULES))
+        assert "rangepartitioning" not in _plan(job(shop, STAR_RULES.unordered()))
+
+
 # A third of the lines on one product and on one order, a third of the orders on one customer.
 ROWS = 60_000
 
