@@ -48,10 +48,11 @@ def _cover(tables: Tables, rules: Rules) -> DataFrame:
     Classes compare stock * months with bound * units, the division-free form, which is exact on the bounds.
 
     Order amounts computed in the same plan are already partitioned by order, and Spark would join lines to them in
-    place, where a hot order cannot be split. Joining on the complement of the id gives both sides a fresh shuffle; the
-    extra one moves an id and a flag per order.
+    place, where a hot order cannot be split. Joining on the complement of the id then gives both sides a fresh shuffle;
+    the extra one moves an id and a flag per order. A stored snapshot has no such partitioning, or has it on purpose.
     """
-    order_key = F.bitwise_not("order_id").alias("order_key")
+    order_id = F.col("order_id") if tables.order_amounts is not None else F.bitwise_not("order_id")
+    order_key = order_id.alias("order_key")
     baskets = order_amounts(tables, rules).select(order_key, (F.col("total") >= rules.big_basket).alias("is_big"))
     lines = tables.stored_lines.select(order_key, "product_id", "quantity")
     sales = (

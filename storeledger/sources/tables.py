@@ -12,7 +12,6 @@ from storeledger.config import Rules
 from storeledger.functions.text import canonical
 from storeledger.sources.schema import ALL_TABLES
 
-
 Frame = DataFrame | Callable[[], DataFrame]
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storeledger import Rules, Tables
 from storeledger.functions.measures import ratio
-from storeledger.operators import baskets, integrity, maintain, periods, sales
+from storeledger.operators import baskets, integrity, maintain, periods, products, sales
 from storeledger.operators.grains import order_amounts
 from storeledger.sources.schema import ALL_TABLES, PRODUCTS, Minimum
 from storeledger.sources.sinks import export_result, write_table
@@ -138,7 +138,8 @@ def test_ids_continue_without_gap_or_repeat(spark, partitions):
 def test_snapshots_are_read_instead_of_recomputed_and_can_be_rebuilt(spark):
     shop = tables_from_rows(spark, SHOP)
     stored = maintain.refresh_snapshots(shop, RULES, prefix="t_")
-    for job in (order_amounts, periods.monthly_revenue, baskets.basket_class_summary, sales.sales_kpis):
+    jobs = [order_amounts, periods.monthly_revenue, baskets.basket_class_summary, sales.sales_kpis, products.stock_cover]
+    for job in jobs:
         assert rows(job(stored, RULES)) == rows(job(shop, RULES))
     assert "t_order_amounts" in stored.order_amounts._jdf.queryExecution().optimizedPlan().toString()
     again = maintain.refresh_snapshots(stored, RULES, prefix="t_")
