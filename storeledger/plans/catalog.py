@@ -15,7 +15,7 @@ from storeledger.operators import baskets, cities, discounts, explore, integrity
 from storeledger.operators.grains import order_amounts
 from storeledger.sources.schema import PRODUCTS, Minimum
 from storeledger.sources.sinks import export_result, shared_folder, write_table
-from storeledger.sources.star import SCHEMAS, STAR_RULES, read_star, shipped_lines, star_tables
+from storeledger.sources.star import SCHEMAS, STAR_RULES, shipped_lines, star_tables
 from storeledger.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]

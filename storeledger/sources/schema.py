@@ -116,3 +116,25 @@ ORDER_LINES = TableSpec(
 
 # Parents before children: the order in which tables are loaded and checked.
 ALL_TABLES = (CUSTOMERS, PRODUCTS, ORDERS, ORDER_LINES)
+
+# Table and column names of a shop database kept in French.
+FRENCH_NAMES = {
+    "customers": "client",
+    "customers.last_name": "nom",
+    "customers.first_name": "prenom",
+    "customers.city": "ville",
+    "customers.signup_date": "date_inscription",
+    "products": "produit",
+    "products.name": "nom",
+    "products.category": "categorie",
+    "products.price": "prix",
+    "orders": "commande",
+    "orders.customer_id": "client_id",
+    "orders.order_date": "date_commande",
+    "orders.status": "statut",
+    "order_lines": "ligne_commande",
+    "order_lines.order_id": "commande_id",
+    "order_lines.product_id": "produit_id",
+    "order_lines.quantity": "quantite",
+    "order_lines.unit_price": "prix_unitaire",
+}

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from storeledger.config import Rules
 from storeledger.functions.text import canonical
@@ -112,10 +113,12 @@ def read_tables(
     fmt: str = "parquet",
     rules: Rules | None = None,
     options: Mapping[str, str] | None = None,
+    names: Mapping[str, str] | None = None,
 ) -> Tables:
     """Read `<root>/<table>` with the declared schemas; no inference pass over the files.
 
-    CSV files need a header with the declared columns in order; a value of the wrong type stops the job.
+    CSV files need a header with the declared columns in order; a value of the wrong type stops the job. `names` maps
+    "table" and "table.column" to what they are called in the files, for instance `schema.FRENCH_NAMES`.
 
     With `rules`, statuses in another Unicode spelling are mapped to the declared one here, once, so that every later
     filter is a plain comparison that still reaches the Parquet scan. Unknown statuses pass through unchanged for the
@@ -123,10 +126,13 @@ def read_tables(
     """
     defaults = {"mode": "FAILFAST", "header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
     reader_options = {**defaults, **(options or {})}
-    frames = {
-        spec.name: spark.read.schema(spec.schema).format(fmt).options(**reader_options).load(f"{root}/{spec.name}")
-        for spec in ALL_TABLES
-    }
+    frames = {}
+    for spec in ALL_TABLES:
+        called = {f.name: (names or {}).get(f"{spec.name}.{f.name}", f.name) for f in spec.schema}
+        schema = T.StructType([T.StructField(called[f.name], f.dataType) for f in spec.schema])
+        folder = f"{root}/{(names or {}).get(spec.name, spec.name)}"
+        files = spark.read.schema(schema).format(fmt).options(**reader_options).load(folder)
+        frames[spec.name] = files.toDF(*spec.schema.names) if names else files
     if rules is not None:
         status = F.col("status")
         frames["orders"] = frames["orders"].withColumn("status", F.coalesce(canonical(status, rules.statuses), status))

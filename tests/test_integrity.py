@@ -4,6 +4,7 @@ import datetime
 import unicodedata
 from decimal import Decimal
 from fractions import Fraction
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from storeledger.functions.measures import ratio
 from storeledger.operators import baskets, integrity, maintain, periods, products, sales
 from storeledger.operators.grains import order_amounts
 from storeledger.sources.schema import ALL_TABLES, PRODUCTS, Minimum
-from storeledger.sources.sinks import export_result, write_table
+from storeledger.sources.sinks import export_result, shared_folder, write_table
 from test_jobs import SHOP, tables_from_rows
 
 RULES = Rules()
@@ -202,3 +203,18 @@ def test_ratio_is_exact(spark, pairs):
             want = None if d == 0 else _half_away(Fraction(n, d), digits)
             if want is None or abs(want) < 10**16:
                 assert got[i] == want
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark).startswith(configured + "/")
+    assert shared_folder(spark) != shared_folder(spark)
+
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
+        )
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+    assert "storeledger-" in shared_folder(session("local[2]"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from storeledger import Rules
 from storeledger.operators import baskets, cities, discounts, explore, periods, products, quality, sales
 from storeledger.operators.grains import order_amounts
-from storeledger.sources.schema import ALL_TABLES
+from storeledger.sources.schema import ALL_TABLES, FRENCH_NAMES
 from storeledger.sources.tables import read_tables, tables_from_rows
 
 RULES = Rules()
@@ -322,6 +322,17 @@ def test_read_tables(spark, shop, tmp_path, fmt):
     assert rows(sales.basket_kpis(read, RULES)) == rows(sales.basket_kpis(shop, RULES))
 
 
+def test_read_tables_under_french_names(spark, shop, tmp_path):
+    for spec in ALL_TABLES:
+        columns = [FRENCH_NAMES.get(f"{spec.name}.{c}", c) for c in spec.schema.names]
+        frame = getattr(shop, spec.name).toDF(*columns)
+        frame.write.option("header", True).csv(f"{tmp_path}/{FRENCH_NAMES[spec.name]}")
+    read = read_tables(spark, str(tmp_path), "csv", names=FRENCH_NAMES)
+    for spec in ALL_TABLES:
+        assert getattr(read, spec.name).schema.names == spec.schema.names
+        assert rows(getattr(read, spec.name).orderBy("id")) == rows(getattr(shop, spec.name).orderBy("id"))
+
+
 def test_csv_with_a_bad_value_is_refused(spark, shop, tmp_path):
     for spec in ALL_TABLES:
         getattr(shop, spec.name).write.option("header", True).csv(f"{tmp_path}/{spec.name}")

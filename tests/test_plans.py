@@ -10,6 +10,7 @@ from star_fixtures import EDGES, write_star
 from storeledger import Tables
 from storeledger.operators import discounts, explore, maintain, products, quality, sales
 from storeledger.operators.grains import valid_lines
+from storeledger.sources.sinks import write_table
 from storeledger.sources.star import STAR_RULES, star_tables
 
 QUERIES = contract.queries()
@@ -176,6 +177,13 @@ def test_hot_keys_are_counted_before_the_join(spark, skewed, shuffled_joins, job
     assert re.search(facts, executed)
 
 
+def test_hot_partition_value_is_written_as_several_files(spark, skewed, shuffled_joins, tmp_path):
+    months = skewed.orders.withColumn("month", F.when(F.col("id") % 3 == 0, 99).otherwise(F.col("id") % 4))
+    written = write_table(months, "orders_by_month", partition_by=["month"], path=str(tmp_path / "orders"))
+    assert len(list((tmp_path / "orders" / "month=99").glob("*.parquet"))) > 1
+    assert written.count() == months.count()
+
+
 def test_skewed_results_are_whole(spark, skewed, shuffled_joins):
     lines, orders = skewed.order_lines.toPandas(), skewed.orders.toPandas()
     valid = lines.merge(orders[orders.status != "P"], left_on="order_id", right_on="id", suffixes=("", "_order"))
