@@ -9,6 +9,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Text leaves as it is, spaces included, with quotes doubled inside quoted text.
+CSV_WRITE = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -40,7 +49,7 @@ def export_result(df: DataFrame, path: str, fmt: str = "csv", partition_by: Sequ
     """Write a result as a directory of part files, in parallel, replacing the previous export."""
     writer = _rebalanced(df, partition_by).write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_WRITE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

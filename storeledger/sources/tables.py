@@ -13,6 +13,9 @@ from storeledger.config import Rules
 from storeledger.functions.text import canonical
 from storeledger.sources.schema import ALL_TABLES
 
+# Quotes are doubled inside quoted text, as databases export it.
+CSV_READ = {"mode": "FAILFAST", "header": "true", "enforceSchema": "false", "escape": '"'}
+
 Frame = DataFrame | Callable[[], DataFrame]
 
 
@@ -124,8 +127,7 @@ def read_tables(
     filter is a plain comparison that still reaches the Parquet scan. Unknown statuses pass through unchanged for the
     quality checks to report.
     """
-    defaults = {"mode": "FAILFAST", "header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
-    reader_options = {**defaults, **(options or {})}
+    reader_options = {**(CSV_READ if fmt == "csv" else {}), **(options or {})}
     frames = {}
     for spec in ALL_TABLES:
         called = {f.name: (names or {}).get(f"{spec.name}.{f.name}", f.name) for f in spec.schema}

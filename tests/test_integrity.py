@@ -17,7 +17,8 @@ from storeledger.operators import baskets, integrity, maintain, periods, product
 from storeledger.operators.grains import order_amounts
 from storeledger.sources.schema import ALL_TABLES, PRODUCTS, Minimum
 from storeledger.sources.sinks import export_result, shared_folder, write_table
-from test_jobs import SHOP, tables_from_rows
+from storeledger.sources.tables import read_tables, tables_from_rows
+from test_jobs import SHOP
 
 RULES = Rules()
 DAY = datetime.date(2025, 1, 1)
@@ -205,6 +206,16 @@ def test_ratio_is_exact(spark, pairs):
                 assert got[i] == want
 
 
+def test_exported_text_reads_back_whole(spark, tmp_path):
+    texts = ['say "hi", twice', "a,b", "", None, "  spaced  ", "back\\slash", "é"]
+    customers = [(i, text or "x", "f", f"{i}@example.com", "Paris", DAY) for i, text in enumerate(texts)]
+    shop = tables_from_rows(spark, {"customers": customers})
+    for spec in ALL_TABLES:
+        export_result(getattr(shop, spec.name), f"{tmp_path}/{spec.name}")
+    back = read_tables(spark, str(tmp_path), "csv")
+    assert rows(back.customers) == rows(shop.customers)
+
+
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark).startswith(configured + "/")
