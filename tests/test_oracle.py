@@ -40,6 +40,42 @@ def empty(spark, tmp_path_factory):
     return _connect(write_star(spark, tmp_path_factory.mktemp("empty"), EMPTY))
 
 
+@pytest.fixture(scope="module")
+def skewed(given, tmp_path_factory):
+    """The given tables with a third of the lines on one order and on one part, a third of the orders on one customer."""
+    _, source = given
+    folder = tmp_path_factory.mktemp("skewed")
+    for table in ("nation", "customer", "part"):
+        source.execute(f"COPY {table} TO '{folder}/{table}.parquet'")
+    source.execute(f"""COPY (
+        SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey) FROM orders
+    ) TO '{folder}/orders.parquet' (ROW_GROUP_SIZE 4000)""")
+    source.execute(f"""COPY (
+        SELECT * EXCLUDE n REPLACE (
+            CASE WHEN n % 3 = 0 THEN 42 ELSE l_orderkey END AS l_orderkey,
+            CASE WHEN n % 3 = 1 THEN 11 ELSE l_partkey END AS l_partkey
+        ) FROM (SELECT *, row_number() OVER () AS n FROM lineitem)
+    ) TO '{folder}/lineitem.parquet' (ROW_GROUP_SIZE 4000)""")
+    return _connect(folder)
+
+
+@pytest.fixture
+def small_cluster_settings(spark):
+    """Only tiny sides are broadcast, and a few kilobytes on one key count as skew."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.files.maxPartitionBytes": "200k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
 def _compare(spark, shop, name):
     root, connection = shop
     result = QUERIES[name](spark, str(root))
@@ -71,5 +107,26 @@ def test_empty_tables(spark, empty, name):
     _compare(spark, empty, name)
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "orders_with_customer",
+        "order_totals",
+        "revenue_by_category",
+        "customer_spend",
+        "top_customers",
+        "stock_cover",
+        "discount_by_rate",
+        "revenue_by_city",
+        "products_never_validly_sold_in_quarter",
+        "check_foreign_key",
+        "delete_cascade",
+        "assign_ids",
+    ],
+)
+def test_skewed_tables(spark, skewed, small_cluster_settings, name):
+    _compare(spark, skewed, name)
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns == ["category", "revenue", "units"]
