@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from storeledger.plans.catalog import build_queries
+from storeledger.plans.oracle import build_oracle
 from star_fixtures import EDGES, EMPTY, write_star
 
 ROOT = Path(os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01"))
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = build_queries()
+ORACLE = build_oracle()
 TYPE_NAMES = {"string": "varchar", "int": "integer"}
 
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from storeledger.plans.catalog import build_queries
 from star_fixtures import EDGES, write_star
 from storeledger import Tables
 from storeledger.operators import discounts, explore, maintain, products, quality, sales
@@ -13,7 +13,7 @@ from storeledger.operators.grains import valid_lines
 from storeledger.sources.sinks import write_table
 from storeledger.sources.star import STAR_RULES, star_tables
 
-QUERIES = contract.queries()
+QUERIES = build_queries()
 
 
 @pytest.fixture(scope="module")
