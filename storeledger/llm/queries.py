@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import lines, packing, sharding
+from storeledger.llm import decontaminate, lines, packing, quality, sharding
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,23 @@ def op1_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, tokenizer_file(), keep_ids=False).drop("ids"))
 
 
+def op2_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents", ["doc_id", "text"])
+    found = decontaminate.find_overlaps(docs, table(spark, root, "benchmark", ["item_id", "text"]))
+    return found.drop("text_a", "text_b")
+
+
+def op3_quality(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents", ["doc_id", "text"])
+    model = quality.train(docs.where(~quality.held_out()), table(spark, root, "labels", ["doc_id", "quality"]))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_sharding(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text"])
     placed = sharding.shard_by_bytes(sharding.document_sizes(docs), ["doc_id", "size", "text_crc32"])
@@ -41,6 +58,8 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 def build_queries() -> dict[str, Query]:
     return {
         "op1_packing": op1_packing,
+        "op2_decontamination": op2_decontamination,
+        "op3_quality": op3_quality,
         "op4_sharding": op4_sharding,
         "op10_line_dedup": op10_line_dedup,
     }

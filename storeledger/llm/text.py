@@ -107,7 +107,7 @@ def windows(found: Words, picks: tuple[int, ...], salt: int = 0) -> tuple[np.nda
     if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     whole = np.flatnonzero(found.doc[picks[-1] :] == found.doc[:count])
-    acc = np.full(len(whole), np.uint64(salt + 1) * _BASE, np.uint64)
+    acc = np.full(len(whole), salt + 1, np.uint64) * _BASE
     for p in picks:
         acc = (acc ^ found.hashes[whole + p]) * np.uint64(0xD6E8FEB86659FD93)
         acc ^= acc >> np.uint64(32)
