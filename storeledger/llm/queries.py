@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import decontaminate, lines, packing, quality, sharding
+from storeledger.llm import decontaminate, language, lines, packing, quality, sharding
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,15 @@ def op4_sharding(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents", ["doc_id", "text", "lang"])
+    unseen = quality.held_out(parts=3, part=1)
+    model = language.train(docs.where(~unseen))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", unseen.alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text", "source"])
     return lines.drop_site_boilerplate(docs)
@@ -61,5 +70,6 @@ def build_queries() -> dict[str, Query]:
         "op2_decontamination": op2_decontamination,
         "op3_quality": op3_quality,
         "op4_sharding": op4_sharding,
+        "op6_language": op6_language,
         "op10_line_dedup": op10_line_dedup,
     }
