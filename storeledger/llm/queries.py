@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import decontaminate, language, lines, packing, quality, sharding
+from storeledger.llm import decontaminate, language, lines, minhash, packing, quality, sharding
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,11 @@ def op4_sharding(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents", ["doc_id", "text"])
+    return minhash.near_duplicates(docs).documents.select("doc_id", "class_id", "class_size")
+
+
 def op6_language(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text", "lang"])
     unseen = quality.held_out(parts=3, part=1)
@@ -70,6 +75,7 @@ def build_queries() -> dict[str, Query]:
         "op2_decontamination": op2_decontamination,
         "op3_quality": op3_quality,
         "op4_sharding": op4_sharding,
+        "op5_near_dedup": op5_near_dedup,
         "op6_language": op6_language,
         "op10_line_dedup": op10_line_dedup,
     }
