@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import decontaminate, language, lines, minhash, packing, quality, sharding
+from storeledger.llm import ann, decontaminate, language, lines, minhash, packing, quality, sharding
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op6_language(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op8_nearest(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "embeddings", ["vec_id", "embedding"])
+    return ann.nearest(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text", "source"])
     return lines.drop_site_boilerplate(docs)
@@ -77,5 +82,6 @@ def build_queries() -> dict[str, Query]:
         "op4_sharding": op4_sharding,
         "op5_near_dedup": op5_near_dedup,
         "op6_language": op6_language,
+        "op8_nearest": op8_nearest,
         "op10_line_dedup": op10_line_dedup,
     }
