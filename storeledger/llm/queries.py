@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import ann, decontaminate, language, lines, minhash, packing, quality, sharding
+from storeledger.llm import ann, decontaminate, html, language, lines, minhash, packing, quality, sharding
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op6_language(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op7_html(spark: SparkSession, root: str) -> DataFrame:
+    pages = table(spark, root, "pages", ["page_id", "url", "html"])
+    return html.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_nearest(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "embeddings", ["vec_id", "embedding"])
     return ann.nearest(rows, rows.where(F.col("vec_id") % 50 == 0))
@@ -82,6 +87,7 @@ def build_queries() -> dict[str, Query]:
         "op4_sharding": op4_sharding,
         "op5_near_dedup": op5_near_dedup,
         "op6_language": op6_language,
+        "op7_html": op7_html,
         "op8_nearest": op8_nearest,
         "op10_line_dedup": op10_line_dedup,
     }
