@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import ann, decontaminate, html, language, lines, minhash, packing, quality, sharding
+from storeledger.llm import ann, decontaminate, html, language, lines, minhash, packing, passages, quality, sharding
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,10 @@ def op8_nearest(spark: SparkSession, root: str) -> DataFrame:
     return ann.nearest(rows, rows.where(F.col("vec_id") % 50 == 0))
 
 
+def op9_passages(spark: SparkSession, root: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, root, "documents", ["doc_id", "text"]))
+
+
 def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text", "source"])
     return lines.drop_site_boilerplate(docs)
@@ -89,5 +93,6 @@ def build_queries() -> dict[str, Query]:
         "op6_language": op6_language,
         "op7_html": op7_html,
         "op8_nearest": op8_nearest,
+        "op9_passages": op9_passages,
         "op10_line_dedup": op10_line_dedup,
     }
