@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import unicodedata
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def spellings(values: Iterable[str]) -> list[str]:
+    """The values in composed and decomposed form, without repeats."""
+    return list(dict.fromkeys(unicodedata.normalize(form, value) for value in values for form in ("NFC", "NFD")))
+
+
 def canonical(column: Column, domain: Sequence[str]) -> Column:
     """The domain value that `column` spells, whatever its normalisation form; NULL when it spells none.
 

@@ -42,7 +42,7 @@ def discount_overview(tables: Tables, rules: Rules) -> DataFrame:
 
 def discount_by_rate(tables: Tables, rules: Rules) -> DataFrame:
     """Per whole-percent rate; lines of a product with catalogue price 0 have no rate and form their own group."""
-    rate = percent(F.col("price") - F.col("unit_price"), F.col("price"), 0).cast("int")
+    rate = percent(F.col("price") - F.col("unit_price"), F.col("price"), 0).cast("bigint")
     by_rate = (
         sales_by_paid_price(tables, rules)
         .groupBy(rate.alias("discount_pct"))

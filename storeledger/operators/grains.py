@@ -25,7 +25,7 @@ def line_totals(tables: Tables) -> DataFrame:
 def order_amounts(tables: Tables, rules: Rules) -> DataFrame:
     """One row per valid order that has lines: order_id, customer_id, order_date, status, total."""
     if tables.order_amounts is not None:
-        return tables.order_amounts
+        return tables.order_amounts.select("order_id", "customer_id", "order_date", "status", "total")
     orders = tables.orders.filter(is_valid_order(rules)).withColumnRenamed("id", "order_id")
     return orders.join(line_totals(tables), "order_id").select(
         "order_id", "customer_id", "order_date", "status", F.col("total").cast(MONEY).alias("total")

@@ -54,7 +54,7 @@ def _cover(tables: Tables, rules: Rules) -> DataFrame:
     order_id = F.col("order_id") if tables.order_amounts is not None else F.bitwise_not("order_id")
     order_key = order_id.alias("order_key")
     baskets = order_amounts(tables, rules).select(order_key, (F.col("total") >= rules.big_basket).alias("is_big"))
-    lines = tables.stored_lines.select(order_key, "product_id", "quantity")
+    lines = tables.unpriced_lines.select(order_key, "product_id", "quantity")
     sales = (
         lines.join(baskets, "order_key")
         .groupBy("product_id")

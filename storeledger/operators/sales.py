@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.config import Rules
-from storeledger.functions.measures import MONEY, is_valid_order, line_amount, month_start, percent, ratio, total
+from storeledger.functions.measures import MONEY, is_excluded, is_valid_order, line_amount, month_start, percent, ratio, total
 from storeledger.functions.ordering import asc, desc, present, text
 from storeledger.operators.grains import customer_sales, line_totals, order_amounts, valid_lines
 from storeledger.sources.tables import Tables
@@ -119,7 +119,7 @@ def active_customers_window(tables: Tables, rules: Rules, as_of: datetime.date)
 
 def cancellation_rate(tables: Tables, rules: Rules) -> DataFrame:
     """Over all orders. Unknown statuses count as not cancelled."""
-    cancelled = F.sum(F.when(F.col("status").isin(*rules.excluded_statuses), 1).otherwise(0))
+    cancelled = F.sum(F.when(is_excluded(rules), 1).otherwise(0))
     orders = F.count("*")
     return tables.orders.agg(
         orders.alias("orders"),

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from storeledger.config import Rules
 from storeledger.functions.measures import is_valid_order
-from storeledger.operators import baskets, cities, discounts, explore, integrity, maintain, periods, products, quality, sales
+from storeledger.operators import baskets, integrity, maintain, periods, sales
 from storeledger.operators.grains import order_amounts
-from storeledger.sources.schema import PRODUCTS, Minimum
-from storeledger.sources.sinks import export_result, shared_folder, write_table
-from storeledger.sources.star import SCHEMAS, STAR_RULES, shipped_lines, star_tables
-from storeledger.sources.tables import Tables
+from storeledger.plans.jobs import PRICED, UNPRICED, Job, active_customers
+from storeledger.sources.schema import ALL_TABLES, Minimum
+from storeledger.sources.sinks import CSV, export_result, shared_folder, write_table
+from storeledger.sources.star import STAR_RULES, shipped_lines, star_tables
+from storeledger.sources.tables import Tables, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
-Job = Callable[[Tables, Rules], DataFrame]
 
 # Quarter in which not every customer buys and not every product sells.
 QUIET_QUARTER = ("1996-01-01", "1996-03-31")
@@ -35,84 +35,29 @@ def _query(job: Job, prices: bool = True, period: tuple[str, str] | None = None)
 
 
 def _analyses() -> dict[str, Query]:
-    unpriced = partial(_query, prices=False)
-    in_quarter = partial(_query, prices=False, period=QUIET_QUARTER)
-    return {
-        # Listings, counts and amounts.
-        "product_catalog": unpriced(explore.product_catalog),
-        "products_above_price": unpriced(explore.products_above_price),
-        "customers_in_city": unpriced(explore.customers_in_city),
-        "customers_per_city": unpriced(explore.customers_per_city),
-        "orders_with_customer": unpriced(explore.orders_with_customer),
-        "line_amounts": _query(explore.line_amounts),
-        "order_totals": _query(explore.order_totals),
-        # Sales by category, product and customer.
-        "revenue_by_category": _query(sales.revenue_by_category),
-        "top_products_by_quantity": unpriced(sales.top_products_by_quantity),
-        "products_by_revenue": _query(sales.products_by_revenue),
-        "customer_spend": _query(sales.customer_spend),
-        "customers_without_orders": unpriced(quality.customers_without_orders),
-        "customers_without_orders_in_quarter": in_quarter(quality.customers_without_orders),
-        "basket_kpis": _query(sales.basket_kpis),
-        "basket_by_month": _query(sales.basket_by_month),
-        # Order amounts and what is read from them.
-        "order_amounts": _query(order_amounts),
-        "classify_baskets": _query(baskets.classify_baskets),
-        "basket_class_summary": _query(baskets.basket_class_summary),
-        "monthly_revenue": _query(periods.monthly_revenue),
-        "monthly_revenue_chrono": _query(periods.monthly_revenue_chrono),
-        "best_months": _query(periods.best_months),
-        "worst_months": _query(periods.worst_months),
-        "semester_summary": _query(periods.semester_summary),
-        "sales_kpis": _query(sales.sales_kpis),
-        "cancellation_rate": unpriced(sales.cancellation_rate),
-        "top_customers": _query(sales.top_customers),
-        "monthly_summary": _query(periods.monthly_revenue),
-        "monthly_summary_chrono": _query(periods.monthly_revenue_chrono),
-        # Products without sales, data quality.
-        "orders_before_signup": unpriced(quality.orders_before_signup),
-        "orders_before_signup_count": unpriced(quality.orders_before_signup_count),
-        "products_never_ordered": unpriced(products.products_never_ordered),
-        "products_never_ordered_in_quarter": in_quarter(products.products_never_ordered),
-        "products_never_validly_sold": unpriced(products.products_never_validly_sold),
-        "products_never_validly_sold_in_quarter": in_quarter(products.products_never_validly_sold),
-        "unsold_stock_value": unpriced(products.unsold_stock_value),
-        "unsold_stock_value_in_quarter": in_quarter(products.unsold_stock_value),
-        "table_row_counts": unpriced(explore.table_row_counts),
-        "row_count_customers": unpriced(lambda t, r: explore.row_count(t.customers, "customers")),
-        "row_count_products": unpriced(lambda t, r: explore.row_count(t.products, "products")),
-        "row_count_orders": unpriced(lambda t, r: explore.row_count(t.orders, "orders")),
-        "row_count_order_lines": unpriced(lambda t, r: explore.row_count(t.order_lines, "order_lines")),
-        "schema_report": _schema_report,
-        "missing_customers": unpriced(quality.missing_customers),
-        "missing_products": unpriced(quality.missing_products),
-        "missing_orders": unpriced(quality.missing_orders),
-        "missing_order_lines": _query(quality.missing_order_lines),
-        # Stock, discounts, cities.
-        "stock_cover": _query(products.stock_cover),
-        "discount_overview": _query(discounts.discount_overview),
-        "discount_by_rate": _query(discounts.discount_by_rate),
-        "discount_by_category": _query(discounts.discount_by_category),
-        "revenue_by_city": _query(cities.revenue_by_city),
-        # Figures derived from the above.
-        "basket_class_shares": _query(baskets.basket_class_shares),
-        "semester_growth": _query(periods.semester_growth),
-        "anomalies_per_customer": unpriced(quality.anomalies_per_customer),
-        "anomaly_gap_range": unpriced(quality.anomaly_gap_range),
-        "risk_class_counts": _query(products.risk_class_counts),
-        "discount_rate_shares": _query(discounts.discount_rate_shares),
-        "discount_cost_pct": _query(discounts.discount_cost_pct),
-        "lines_above_catalogue": _query(discounts.lines_above_catalogue),
-        "top_customer_cities": _query(sales.top_customer_cities),
-        "active_customers_window": _query(partial(sales.active_customers_window, as_of=ACTIVITY_DAY)),
-        "category_shares": _query(sales.category_shares),
+    in_quarter = {
+        name: _query(UNPRICED[name], prices=False, period=QUIET_QUARTER)
+        for name in (
+            "customers_without_orders",
+            "products_never_ordered",
+            "products_never_validly_sold",
+            "unsold_stock_value",
+        )
     }
+    return (
+        {name: _query(job, prices=False) for name, job in UNPRICED.items()}
+        | {name: _query(job) for name, job in PRICED.items()}
+        | {f"{name}_in_quarter": query for name, query in in_quarter.items()}
+        | {"active_customers_window": _query(active_customers(ACTIVITY_DAY))}
+    )
 
 
 def _checks_and_maintenance() -> dict[str, Query]:
     unpriced = partial(_query, prices=False)
     return {
-        "read_tables": _query(_table_profile),
+        "read_tables": _read_profile,
+        "monthly_summary": lambda spark, root: periods.monthly_revenue(_stored_months(spark, root), STAR_RULES),
+        "monthly_summary_chrono": lambda spark, root: periods.monthly_revenue_chrono(_stored_months(spark, root), STAR_RULES),
         "write_table": _query(_stored_order_amounts),
         "export_result": _query(_exported_categories),
         "check_not_null": unpriced(lambda t, r: integrity.check_not_null(t.customers, t.customers.columns)),
@@ -127,11 +72,12 @@ def _checks_and_maintenance() -> dict[str, Query]:
         "check_domain": unpriced(lambda t, r: integrity.check_domain(t.orders, "status", ("F", "O"))),
         "check_length": unpriced(lambda t, r: integrity.check_length(t.products, "name", 10)),
         "constraint_report": _query(_constraint_counts),
-        "apply_defaults": unpriced(lambda t, r: maintain.apply_defaults(t.products.drop("stock"), PRODUCTS)),
+        "apply_defaults": _read_defaults,
         "check_temporal_order": lambda spark, root: integrity.check_temporal_order(
             shipped_lines(spark, root), "order_date", "ship_date"
         ),
-        "delete_cascade": unpriced(_lines_left_after_delete),
+        "delete_cascade": unpriced(lambda t, r: _left_after_delete(t, r)[1]),
+        "delete_cascade_parents": unpriced(lambda t, r: _left_after_delete(t, r)[0]),
         "delete_restrict_blockers": unpriced(
             lambda t, r: maintain.delete_restrict_blockers(
                 t.customers.filter(F.col("city") == r.city), t.orders, "customer_id"
@@ -146,8 +92,36 @@ def _valid_orders(tables: Tables, rules: Rules) -> DataFrame:
     return tables.orders.filter(is_valid_order(rules))
 
 
-def _schema_report(spark: SparkSession, root: str) -> DataFrame:
-    return explore.schema_report(spark, {name: spark.read.parquet(f"{root}/{name}.parquet").schema for name in SCHEMAS})
+def _work_folder(spark: SparkSession) -> str:
+    """A new folder where the tables go anyway, or where the cluster says."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    return shared_folder(spark, root)
+
+
+def _stored_shop(spark: SparkSession, root: str, without_stock: bool = False) -> Tables:
+    """The star's shop as files, products without the column that has a default, as the reader finds it."""
+    bound = star_tables(spark, root)
+    folder = _work_folder(spark)
+    shop = bound.replaced(products=lambda: bound.products.drop("stock")) if without_stock else bound
+    for spec in ALL_TABLES:
+        getattr(shop, spec.name).write.parquet(f"{folder}/{spec.name}")
+    return read_tables(spark, folder)
+
+
+def _stored_months(spark: SparkSession, root: str) -> Tables:
+    """The shop with its monthly table written and read again."""
+    bound = star_tables(spark, root)
+    folder = f"{_work_folder(spark)}/monthly_summary"
+    export_result(periods.monthly_revenue(bound, STAR_RULES), folder)
+    return bound.replaced(monthly_revenue=spark.read.parquet(folder))
+
+
+def _read_profile(spark: SparkSession, root: str) -> DataFrame:
+    return _table_profile(_stored_shop(spark, root, without_stock=True), STAR_RULES)
+
+
+def _read_defaults(spark: SparkSession, root: str) -> DataFrame:
+    return _stored_shop(spark, root, without_stock=True).products
 
 
 def _table_profile(tables: Tables, rules: Rules) -> DataFrame:
@@ -169,42 +143,47 @@ def _table_profile(tables: Tables, rules: Rules) -> DataFrame:
 
 
 def _stored_order_amounts(tables: Tables, rules: Rules) -> DataFrame:
-    """Write the snapshot, read it back through the catalog, and summarise it per class."""
+    """Write the snapshot as a table, drop the table's name, and summarise the files per class."""
     spark = tables.orders.sparkSession
-    folder = shared_folder(spark)
-    stored = write_table(order_amounts(tables, rules), f"order_amounts_{folder[-12:]}", path=folder)
-    return baskets.basket_class_summary(tables.replaced(order_amounts=stored), rules)
+    folder = _work_folder(spark)
+    name = f"order_amounts_{folder[-12:]}"
+    schema = write_table(order_amounts(tables, rules), name, path=folder).schema
+    spark.sql(f"DROP TABLE {name}")
+    return baskets.basket_class_summary(tables.replaced(order_amounts=spark.read.schema(schema).parquet(folder)), rules)
 
 
 def _exported_categories(tables: Tables, rules: Rules) -> DataFrame:
     """Write the category report as CSV and read the part files back."""
     spark = tables.orders.sparkSession
-    folder = shared_folder(spark)
+    folder = _work_folder(spark)
     report = sales.revenue_by_category(tables, rules)
-    export_result(report, folder)
-    return spark.read.schema(report.schema).csv(folder, header=True)
+    export_result(report, folder, "csv")
+    return spark.read.schema(report.schema).options(**CSV).csv(folder)
 
 
 def _constraint_counts(tables: Tables, rules: Rules) -> DataFrame:
     return integrity.constraint_report(tables, integrity.with_status_domain(rules.statuses))
 
 
-def _lines_left_after_delete(tables: Tables, rules: Rules) -> DataFrame:
-    """Order lines that remain once the cancelled orders are deleted."""
+def _left_after_delete(tables: Tables, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """Orders and order lines that remain once the cancelled orders are deleted."""
     cancelled = tables.orders.filter(F.col("status").isin(*rules.excluded_statuses))
-    _, lines = maintain.delete_cascade(tables.orders, tables.order_lines, cancelled, "order_id")
-    return lines
+    return maintain.delete_cascade(tables.orders, tables.order_lines, cancelled, "order_id")
 
 
 def _new_line_ids(tables: Tables, rules: Rules) -> DataFrame:
-    """The star's lines have no key: number them all after the largest line number, and report the ids handed out."""
-    numbered = maintain.assign_ids(tables.order_lines, tables.order_lines)
+    """The star's lines have no key: number them all after the largest line number, and report the ids handed out and
+    the columns that came along."""
+    folder = _work_folder(tables.order_lines.sparkSession)
+    numbered = maintain.assign_ids(tables.order_lines, tables.order_lines, folder=folder)
     return numbered.agg(
         F.count("*").alias("rows"),
         F.min("id").alias("first_id"),
         F.max("id").alias("last_id"),
         F.sum(F.col("id").cast("decimal(28,0)")).alias("id_sum"),
         F.sum("quantity").alias("units"),
+        F.sum(F.col("order_id").cast("decimal(28,0)")).alias("order_id_sum"),
+        F.sum(F.col("product_id").cast("decimal(28,0)")).alias("product_id_sum"),
     )
 
 

@@ -55,7 +55,7 @@ def _ratio(numerator: str, denominator: str, digits: int) -> str:
     sign = f"CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END"
     magnitude = f"((abs({n}) * {2 * 10**digits} + abs({d})) // (2 * abs({d})))"
     unit = "1" if digits == 0 else "0." + "0" * (digits - 1) + "1"
-    return f"CAST(CAST({sign} * {magnitude} AS DECIMAL(30,0)) * {unit} AS DECIMAL(20,{digits}))"
+    return f"CAST(CAST({sign} * {magnitude} AS DECIMAL(36,0)) * {unit} AS DECIMAL(38,{digits}))"
 
 
 def _percent(part: str, whole: str, digits: int) -> str:
@@ -97,7 +97,7 @@ _DISCOUNT = _money("SUM(quantity * (price - unit_price))")
 _DISCOUNTED = "SUM(CAST(COALESCE(unit_price < price, FALSE) AS INTEGER))"
 _CANCELLED = "SUM(CAST(COALESCE(status = 'P', FALSE) AS INTEGER))"
 
-_RATES = f"""SELECT CAST({_percent("price - unit_price", "price", 0)} AS INTEGER) AS discount_pct, COUNT(*) AS lines,
+_RATES = f"""SELECT CAST({_percent("price - unit_price", "price", 0)} AS BIGINT) AS discount_pct, COUNT(*) AS lines,
     {_count("SUM(quantity)")} AS units, {_ratio("SUM(quantity)", "COUNT(*)", 2)} AS units_per_line,
     {_money("SUM(quantity * unit_price)")} AS revenue, {_DISCOUNT} AS discount
 FROM {_PRICED} GROUP BY 1"""
@@ -119,10 +119,6 @@ _NEVER_SOLD_IN_QUARTER = _NEVER.format(join="JOIN s_quarter o ON o.id = l.order_
 _STOCK_VALUE = f"SELECT COUNT(*) AS products, {_money('SUM(price * stock)')} AS stock_value FROM s_products"
 _IDLE = "SELECT id, last_name, first_name, email FROM s_customers WHERE id NOT IN (SELECT customer_id FROM {orders})"
 
-_COLUMNS = """SELECT '{table}' AS table_name, CAST(row_number() OVER () AS INTEGER) AS position, column_name,
-    column_type AS data_type, CAST(NULL AS INTEGER) AS max_length, "null" AS is_nullable
-FROM (DESCRIBE {table})"""
-
 
 def _missing(table: str, columns: list[str], blanks: tuple[str, ...] = ()) -> str:
     def condition(column: str) -> str:
@@ -248,9 +244,6 @@ _QUERIES = {
     "row_count_products": "SELECT COUNT(*) AS products FROM part",
     "row_count_orders": "SELECT COUNT(*) AS orders FROM orders",
     "row_count_order_lines": "SELECT COUNT(*) AS order_lines FROM lineitem",
-    "schema_report": " UNION ALL ".join(
-        _COLUMNS.format(table=t) for t in ("customer", "lineitem", "nation", "orders", "part")
-    ),
     "missing_customers": _missing(
         "s_customers",
         ["last_name", "first_name", "email", "city", "signup_date"],
@@ -306,11 +299,14 @@ _QUERIES = {
         WHERE CAST(l_shipdate AS DATE) < order_date""",
     "delete_cascade": """SELECT id, order_id, product_id, quantity FROM s_lines
         WHERE order_id NOT IN (SELECT id FROM s_orders WHERE status = 'P')""",
+    "delete_cascade_parents": "SELECT * FROM s_orders WHERE status <> 'P' OR status IS NULL",
     "delete_restrict_blockers": """SELECT c.id, COUNT(*) AS children FROM s_customers c
         JOIN s_orders o ON o.customer_id = c.id WHERE city = 'NATION_7' GROUP BY c.id""",
     "assign_ids": """SELECT n AS rows, last + 1 AS first_id, last + n AS last_id,
-        CAST(n * last + n * (n + 1) // 2 AS DECIMAL(38,0)) AS id_sum, units
-        FROM (SELECT COUNT(*) AS n, MAX(id) AS last, CAST(SUM(quantity) AS BIGINT) AS units FROM s_lines)""",
+        CAST(n * last + n * (n + 1) // 2 AS DECIMAL(38,0)) AS id_sum, units, order_id_sum, product_id_sum
+        FROM (SELECT COUNT(*) AS n, MAX(id) AS last, CAST(SUM(quantity) AS BIGINT) AS units,
+            CAST(SUM(order_id) AS DECIMAL(38,0)) AS order_id_sum, CAST(SUM(product_id) AS DECIMAL(38,0)) AS product_id_sum
+            FROM s_lines)""",
     "check_encoding": """SELECT status, COUNT(*) AS rows, CAST(NULL AS VARCHAR) AS canonical FROM s_orders
         WHERE status NOT IN ('F', 'O', 'p') GROUP BY status""",
 }

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Text leaves as it is, spaces included, with quotes doubled inside quoted text.
-CSV_WRITE = {
+# One set of options for writers and readers, under which text comes back as it left: spaces, quotes (doubled inside
+# quoted text), line breaks, and empty text apart from NULL.
+CSV = {
+    "mode": "FAILFAST",
     "header": "true",
+    "enforceSchema": "false",
     "escape": '"',
+    "quoteAll": "true",
+    "multiLine": "true",
+    "lineSep": "\n",
+    "nullValue": "\\N",
+    "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -45,11 +52,14 @@ def write_table(
     return df.sparkSession.table(name)
 
 
-def export_result(df: DataFrame, path: str, fmt: str = "csv", partition_by: Sequence[str] = ()) -> None:
-    """Write a result as a directory of part files, in parallel, replacing the previous export."""
+def export_result(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+    """Write a result as a directory of part files, in parallel, replacing the previous export.
+
+    CSV files are to be read with the same options (`CSV`), one task per file, so they should be many and moderate.
+    """
     writer = _rebalanced(df, partition_by).write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.options(**CSV_WRITE)
+        writer = writer.options(**CSV)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -60,21 +70,19 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession, root: str | None = None) -> str:
     """A new folder, on storage that every executor sees, for files a job hands to itself."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="storeledger-")
+        raise ValueError("name a folder shared by all executors, here or in spark.checkpoint.dir")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, root: str | None = None) -> DataFrame:
     """Write `df` to shared storage and read it back, so that values tied to partition layout survive a lost executor.
 
     Columnar files rather than an RDD checkpoint: whoever reads one column afterwards does not read the others.
     """
-    folder = shared_folder(df.sparkSession)
+    folder = shared_folder(df.sparkSession, root)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -57,6 +57,7 @@ def star_tables(spark: SparkSession, root: str, prices: bool = True) -> Tables:
         products=lambda: _products(table("part")),
         orders=lambda: _orders(table("orders")),
         order_lines=lambda: _priced_lines(table("lineitem"), table("part")) if prices else _lines(table("lineitem")),
+        unpriced_lines=lambda: _lines(table("lineitem")),
     )
 
 
@@ -71,12 +72,16 @@ def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+# The one rule by which the star's binary prices become decimals.
+_PRICE = "CAST(p_retailprice AS DECIMAL(10,2))"
+
+
 def _products(part: DataFrame) -> DataFrame:
     return part.selectExpr(
         "p_partkey AS id",
         "p_name AS name",
         "p_type AS category",
-        "CAST(p_retailprice AS DECIMAL(10,2)) AS price",
+        f"{_PRICE} AS price",
         "p_size AS stock",
     )
 
@@ -107,7 +112,7 @@ def _priced_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
     Price and discount have two decimals, so the price paid is worked out in whole cents, half a cent rounding up.
     """
-    prices = part.selectExpr("p_partkey", "CAST(rint(p_retailprice * 100) AS BIGINT) AS cents")
+    prices = part.selectExpr("p_partkey", f"CAST({_PRICE} * 100 AS BIGINT) AS cents")
     paid_cents = "(cents * (100 - CAST(rint(l_discount * 100) AS INT)) + 50) DIV 100"
     return lineitem.join(prices, F.col("l_partkey") == F.col("p_partkey"), "left").selectExpr(
         *_LINE, f"CAST(CAST({paid_cents} AS DECIMAL(10,0)) * 0.01 AS DECIMAL(10,2)) AS unit_price"

@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeledger.config import Rules
-from storeledger.functions.text import canonical
 from storeledger.sources.schema import ALL_TABLES
+from storeledger.sources.sinks import CSV
 
-# Quotes are doubled inside quoted text, as databases export it.
-CSV_READ = {"mode": "FAILFAST", "header": "true", "enforceSchema": "false", "escape": '"'}
+# Column of a stored order-amounts table that names its month's folder.
+MONTH_FOLDER = "order_month"
 
 Frame = DataFrame | Callable[[], DataFrame]
 
@@ -35,6 +34,7 @@ class Tables:
         order_amounts: Frame | None = None,
         monthly_revenue: Frame | None = None,
         stored_lines: Frame | None = None,
+        unpriced_lines: Frame | None = None,
     ) -> None:
         self._sources = {
             "customers": customers,
@@ -44,6 +44,7 @@ class Tables:
             "order_amounts": order_amounts,
             "monthly_revenue": monthly_revenue,
             "stored_lines": stored_lines,
+            "unpriced_lines": unpriced_lines,
         }
 
     def _frame(self, name: str) -> DataFrame | None:
@@ -80,6 +81,12 @@ class Tables:
         lines = self._frame("stored_lines")
         return self.order_lines if lines is None else lines
 
+    @cached_property
+    def unpriced_lines(self) -> DataFrame:
+        """All lines, for jobs that read no price: where the price takes a join to find, the source leaves it out here."""
+        lines = self._frame("unpriced_lines")
+        return self.stored_lines if lines is None else lines
+
     def replaced(self, **frames: Frame | None) -> Tables:
         return Tables(**(self._sources | frames))
 
@@ -94,7 +101,7 @@ class Tables:
         return self.replaced(
             orders=orders,
             order_lines=lambda: lines_of(self.stored_lines, orders),
-            order_amounts=None if amounts is None else amounts.filter(between_dates(start, end)),
+            order_amounts=None if amounts is None else amounts.filter(_in_months(amounts, start, end) & between_dates(start, end)),
             monthly_revenue=None,
             stored_lines=lambda: self.stored_lines,
         )
@@ -106,6 +113,14 @@ def lines_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(keys, "order_id", "left_semi").select(*lines.columns)
 
 
+def _in_months(amounts: DataFrame, start: str, end: str) -> Column:
+    """The folders a period touches, if the table has them."""
+    if MONTH_FOLDER not in amounts.columns:
+        return F.lit(True)
+    first, last = (F.trunc(F.lit(day).cast("date"), "MM") for day in (start, end))
+    return F.col(MONTH_FOLDER).between(first, last)
+
+
 def between_dates(start: str, end: str) -> Column:
     return F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
@@ -114,30 +129,35 @@ def read_tables(
     spark: SparkSession,
     root: str,
     fmt: str = "parquet",
-    rules: Rules | None = None,
     options: Mapping[str, str] | None = None,
     names: Mapping[str, str] | None = None,
 ) -> Tables:
     """Read `<root>/<table>` with the declared schemas; no inference pass over the files.
 
-    CSV files need a header with the declared columns in order; a value of the wrong type stops the job. `names` maps
-    "table" and "table.column" to what they are called in the files, for instance `schema.FRENCH_NAMES`.
+    A declared column that the files lack gets its default, or stops the job here if it has none. CSV files need a header
+    with the declared columns in order; a value of the wrong type stops the job. They are read one task per file, since a value may
+    hold line breaks, so many moderate files read faster than one. `names` maps "table" and "table.column" to what they are
+    called in the files, for instance `schema.FRENCH_NAMES`.
 
-    With `rules`, statuses in another Unicode spelling are mapped to the declared one here, once, so that every later
-    filter is a plain comparison that still reaches the Parquet scan. Unknown statuses pass through unchanged for the
-    quality checks to report.
+    Statuses are read as they are, in either Unicode form; `maintain.store_tables` writes them in the declared one.
     """
-    reader_options = {**(CSV_READ if fmt == "csv" else {}), **(options or {})}
+    reader_options = {**(CSV if fmt == "csv" else {}), **(options or {})}
     frames = {}
     for spec in ALL_TABLES:
         called = {f.name: (names or {}).get(f"{spec.name}.{f.name}", f.name) for f in spec.schema}
-        schema = T.StructType([T.StructField(called[f.name], f.dataType) for f in spec.schema])
         folder = f"{root}/{(names or {}).get(spec.name, spec.name)}"
+        present = spark.read.format(fmt).options(**reader_options).load(folder).columns
+        absent = [name for name in spec.schema.names if called[name] not in present]
+        if unknown := [called[name] for name in absent if name not in spec.defaults]:
+            raise ValueError(f"{folder} has no column {', '.join(unknown)}")
+        given = {called[f.name]: f for f in spec.schema if f.name not in absent}
+        schema = T.StructType([T.StructField(c, f.dataType) for c, f in given.items()])
         files = spark.read.schema(schema).format(fmt).options(**reader_options).load(folder)
-        frames[spec.name] = files.toDF(*spec.schema.names) if names else files
-    if rules is not None:
-        status = F.col("status")
-        frames["orders"] = frames["orders"].withColumn("status", F.coalesce(canonical(status, rules.statuses), status))
+        columns = [
+            F.lit(spec.defaults[f.name]).cast(f.dataType).alias(f.name) if f.name in absent else F.col(f"`{called[f.name]}`").alias(f.name)
+            for f in spec.schema
+        ]
+        frames[spec.name] = files.select(*columns) if names or absent else files
     return Tables(**frames)
 
 

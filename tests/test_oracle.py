@@ -118,6 +118,7 @@ def test_empty_tables(spark, empty, name):
         "customer_spend",
         "top_customers",
         "stock_cover",
+        "anomalies_per_customer",
         "discount_by_rate",
         "revenue_by_city",
         "products_never_validly_sold_in_quarter",

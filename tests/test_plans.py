@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from storeledger.plans.catalog import build_queries
 from star_fixtures import EDGES, write_star
-from storeledger import Tables
+from storeledger import Rules, Tables
 from storeledger.operators import discounts, explore, maintain, products, quality, sales
 from storeledger.operators.grains import valid_lines
+from storeledger.sources.schema import ALL_TABLES
 from storeledger.sources.sinks import write_table
 from storeledger.sources.star import STAR_RULES, star_tables
+from storeledger.sources.tables import read_tables
 
 QUERIES = build_queries()
 
@@ -25,7 +27,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"write_table", "export_result", "assign_ids"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"write_table", "export_result", "assign_ids", "read_tables", "apply_defaults"}))
 def test_no_python_and_no_pairwise_join(spark, root, name):
     plan = _plan(QUERIES[name](spark, root))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -165,7 +167,13 @@ def test_hot_order_is_split_in_a_period_and_in_a_delete(spark, skewed, shuffled_
 
 @pytest.mark.parametrize(
     "job",
-    [sales.customer_spend, explore.order_totals, sales.top_customers, quality.customers_without_orders],
+    [
+        sales.customer_spend,
+        explore.order_totals,
+        sales.top_customers,
+        quality.customers_without_orders,
+        quality.anomalies_per_customer,
+    ],
     ids=lambda job: job.__name__,
 )
 def test_hot_keys_are_counted_before_the_join(spark, skewed, shuffled_joins, job):
@@ -203,3 +211,30 @@ def test_skewed_results_are_whole(spark, skewed, shuffled_joins):
     assert overview.discount == (valid.quantity * (price - valid.unit_price)).sum()
 
     assert explore.orders_with_customer(skewed, STAR_RULES).count() == len(orders)
+
+
+def test_both_spellings_of_a_status_reach_the_scan(spark, skewed, tmp_path):
+    for spec in ALL_TABLES:
+        getattr(skewed, spec.name).limit(10).write.parquet(f"{tmp_path}/{spec.name}")
+    shop = read_tables(spark, str(tmp_path))
+    plan = _plan(sales.basket_kpis(shop, Rules()))
+    assert re.search(r"PushedFilters: \[[^\]]*Not\(In\(status, \[annul.*e,annul.*e\]\)\)", plan)
+
+
+@pytest.mark.parametrize("name", ["stock_cover", "risk_class_counts", "constraint_report"])
+def test_lines_meet_parts_once(spark, root, name):
+    """Lines are priced at most once, and no line looks up a part for its key alone."""
+    plan = _plan(QUERIES[name](spark, root))
+    priced = [line for line in plan.splitlines() if "Join [l_partkey" in line and "LeftOuter" in line]
+    assert len(priced) == (0 if name == "risk_class_counts" else 1)
+    keys_only = [line for line in plan.splitlines() if "ReadSchema: struct<p_partkey:bigint>" in line]
+    assert len(keys_only) <= 2 * (name == "constraint_report")  # there the products' key and the lines' reference to it
+
+
+def test_a_period_reads_its_months_only(spark, root):
+    shop = maintain.refresh_snapshots(star_tables(spark, root), STAR_RULES, prefix="p_", by_month=True)
+    quarter = shop.in_period("1996-01-15", "1996-03-31")
+    plan = quarter.order_amounts._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*order_month[^\]]* >= 1996-01-01", plan)
+    plain = star_tables(spark, root).in_period("1996-01-15", "1996-03-31")
+    assert sales.basket_kpis(quarter, STAR_RULES).collect() == sales.basket_kpis(plain, STAR_RULES).collect()
