@@ -2,33 +2,53 @@
 
 from __future__ import annotations
 
-SITE_LINES = r"""
-WITH kept_rows AS (SELECT row_number() OVER () AS place, * FROM {docs}),
-split_rows AS (SELECT place, source, unnest(string_split(text, chr(10))) AS line FROM kept_rows),
-counts AS (
-    SELECT source, line, count(DISTINCT place) AS pages FROM split_rows WHERE trim(line, ' ') <> '' GROUP BY ALL
-),
-hosts AS (SELECT source, count(*) AS host_pages FROM {docs} GROUP BY source),
+LINE_DEDUP = """
+WITH pages AS (SELECT row_number() OVER () AS place, * FROM documents),
+lines AS (SELECT place, source, unnest(string_split(text, chr(10))) AS line FROM pages),
+counts AS (SELECT source, line, count(DISTINCT place) AS pages FROM lines WHERE trim(line, ' ') <> '' GROUP BY ALL),
+hosts AS (SELECT source, count(*) AS host_pages FROM documents GROUP BY source),
 flagged AS (
     SELECT counts.source, list(line) AS lines
     FROM counts JOIN hosts ON counts.source IS NOT DISTINCT FROM hosts.source
     WHERE pages >= 4 AND pages > 0.1 * host_pages GROUP BY counts.source
 ),
 cut AS (
-    SELECT kept_rows.*, string_split(text, chr(10)) AS given,
+    SELECT pages.*, string_split(text, chr(10)) AS given,
         list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(lines, []), x)) AS kept
-    FROM kept_rows LEFT JOIN flagged ON kept_rows.source IS NOT DISTINCT FROM flagged.source
+    FROM pages LEFT JOIN flagged ON pages.source IS NOT DISTINCT FROM flagged.source
 )
-"""
-
-LINE_DEDUP = (
-    SITE_LINES.format(docs="documents")
-    + """
 SELECT doc_id, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text, source,
     CAST(coalesce(len(given) - len(kept), 0) AS INTEGER) AS lines_dropped
 FROM cut
 """
-)
+
+# The CRC-32 goes byte by byte, with the 256 steps made from the polynomial.
+SHARDING = """
+WITH steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+        lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS steps
+),
+bytes AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, string_split(hex(encode(coalesce(text, ''))), '') AS digits
+    FROM documents
+),
+sized AS (
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(list_reduce(
+            list_concat([4294967295], list_transform(range(size - 1), lambda i:
+                16 * (strpos('0123456789ABCDEF', digits[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', digits[2 * i + 2]) - 1)),
+            lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32
+    FROM bytes, steps
+),
+running AS (
+    SELECT *, sum(size) OVER in_order - size AS before_it, sum(size) OVER () AS total, row_number() OVER in_order AS place
+    FROM sized WINDOW in_order AS (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING)
+),
+placed AS (SELECT *, CAST(least(15, ((2 * before_it + size) * 16) // (2 * total)) AS INTEGER) AS shard FROM running)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot,
+    CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
 
 def build_oracle() -> dict[str, str]:
-    return {"op10_line_dedup": LINE_DEDUP}
+    return {"op4_sharding": SHARDING, "op10_line_dedup": LINE_DEDUP}
