@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -14,10 +13,12 @@ from pyspark.sql import functions as F
 
 from storeledger.llm.store import free_names, staged
 from storeledger.llm.text import slices
+from storeledger.llm.tokens import Encoder
 
 SEQUENCE = 2048
 GROUP_PIECES = 8192
 END_ID = 1
+ENCODED_BYTES = 6 << 20  # of text encoded at a time
 
 PIECES = "start long, length long, doc_tokens long, ids array<int>, ids_crc32 long"
 
@@ -49,18 +50,14 @@ class _Pieces:
         self.tokenizer, self.sequence, self.end_id, self.keys, self.keep_ids = tokenizer, sequence, end_id, keys, keep_ids
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for one core
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(self.tokenizer)
-        model.encode_special_tokens = True  # their strings in a text are ordinary text
+        encoder = Encoder(self.tokenizer)
         for batch in batches:
-            for part in slices(batch):
-                yield self._cut(part, model)
+            for part in slices(batch, limit=ENCODED_BYTES):
+                yield self._cut(part, encoder)
 
-    def _cut(self, part: pa.RecordBatch, model) -> pa.RecordBatch:
-        texts = [text or "" for text in part.column("text").to_pylist()]
-        ids = [np.array([*found.ids, self.end_id], "<u4") for found in model.encode_batch_fast(texts, add_special_tokens=False)]
+    def _cut(self, part: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
+        flat, offsets = encoder.encode(part.column("text"))
+        ids = [np.append(flat[a:b], np.uint32(self.end_id)) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         tokens = np.array([len(x) for x in ids], np.int64)
         counts = -(-tokens // self.sequence)
         row = np.repeat(np.arange(len(ids)), counts)

@@ -92,13 +92,16 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     if not len(start):
         empty = np.zeros(0, np.int64)
         return Words(np.zeros(0, np.uint64), empty, empty, empty, offsets)
-    lengths = end - start
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(lengths.sum()) - np.repeat(first, lengths)
-    letters = data[inside].astype(np.uint64) + np.uint64(1)
-    value = np.add.reduceat(letters * _POWERS[place % _PLACES], first)
+    value = run_hashes(data[inside], np.cumsum(end - start) - (end - start), np.cumsum(end - start))
     doc = np.searchsorted(offsets, start, "right") - 1
-    return Words(mixed(value + lengths.astype(np.uint64)), doc, start, end, offsets)
+    return Words(mixed(value + (end - start).astype(np.uint64)), doc, start, end, offsets)
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A polynomial hash of each run of bytes; the runs follow one another and cover the data."""
+    place = np.arange(len(data), dtype=np.int32) - np.repeat(start.astype(np.int32), end - start)
+    place &= _PLACES - 1
+    return np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * _POWERS[place], start)
 
 
 def windows(found: Words, picks: tuple[int, ...], salt: int = 0) -> tuple[np.ndarray, np.ndarray]:

@@ -79,3 +79,20 @@ def test_pack_keeps_columns_and_takes_empty_tables(spark):
     assert got.columns == ["_group", "length", "sequence_id", "offset"]
     assert len({r.sequence_id for r in got.collect() if r.length == 60}) == 2
     assert packing.pack(rows.limit(0), sequence=64).collect() == []
+
+
+def test_cut_texts_have_the_ids_of_whole_texts():
+    import pyarrow as pa
+
+    from storeledger.llm.tokens import Encoder
+
+    rng = random.Random(10)
+    letters = [*"abcé ÷×'s\n  ,.!12\t\r  x-ß中’_　\x85", "'s", "'re", "  ", "wo", "the ", "<|endoftext|>", "\n\n", "😀"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 16))) for _ in range(6000)]
+    texts += [corpus.prose(rng, 200) for _ in range(20)] + [None, "", "\n", " "]
+    encoder = Encoder(tokenizer_file(), known=500)
+    for low in range(0, len(texts), 1000):
+        part = texts[low : low + 1000]
+        ids, at = encoder.encode(pa.array(part, pa.string()))
+        whole = encoder.model.encode_batch([t or "" for t in part], add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [w.ids for w in whole]
