@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeledger.llm.store import free_names, key_filter, maybe_in, small, staged
+from storeledger.llm.store import filter_bits, free_names, key_filter, maybe_in, small, staged
 from storeledger.llm.text import lists, slices, windows, words
 
 # Word positions that each mask looks at; a changed word at any other position leaves the hash as it is.
@@ -40,9 +40,9 @@ def find_overlaps(
     have no words. An item of fewer words than the widest mask may be found by a narrower one only, and one of fewer than
     the narrowest spans (9) not at all.
 
-    Hashes of all windows of the documents are held against a bitmap of the items' hashes, of fixed size, where they are
+    Hashes of all windows of the documents are held against a Bloom filter of the items' hashes, of bounded size, where they are
     made; what passes meets the items' hashes in a join. So the documents' windows never travel, and the join keeps the
-    few that the bitmap lets through by accident from doing harm.
+    few that the filter lets through by accident from doing harm.
     """
     tests = staged(
         items.select("item_id", "text")
@@ -53,7 +53,7 @@ def find_overlaps(
         F.col("seed.hash").alias("hash"), "item", F.col("seed.pos").alias("item_pos")
     )
     seeds = staged(seeds)
-    bits = min(28, max(16, int(seeds.count() * 32).bit_length()))  # 32 MB at most
+    bits = filter_bits(seeds.count())
     bitmap = key_filter(seeds, "hash", bits)
 
     given = docs.select("doc_id", "text").withColumns(

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeledger.llm.store import key_filter, maybe_in, staged
+from storeledger.llm.store import filter_bits, key_filter, maybe_in, staged
 from storeledger.llm.text import lists, slices, windows, words
 
 SEED_WORDS = 8
@@ -44,7 +44,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     held = seeds.select("doc", F.explode(F.array_distinct("hash")).alias("hash"))
     counts = held.groupBy("hash").agg(F.count("*").alias("docs"), F.min("doc").alias("first_doc"))
     shared = staged(counts.where("docs > 1").select("hash", "first_doc"))
-    bits = min(28, max(16, int(shared.count() * 16).bit_length()))  # 32 MB at most
+    bits = filter_bits(shared.count())
     bitmap = key_filter(shared, "hash", bits)
     near = staged(seeds.mapInArrow(_Shared(bitmap, bits), "doc long, hash long, pos int"))
     firsts = near.join(shared, (near["hash"] == shared["hash"]) & (near["doc"] == shared["first_doc"]))
@@ -58,7 +58,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     # The words around each chain, of both documents.
     ends = chains.select(F.xxhash64("doc").alias("key")).union(chains.select(F.xxhash64("other").alias("key"))).distinct()
     ends = staged(ends)
-    bits = min(28, max(16, int(ends.count() * 16).bit_length()))
+    bits = filter_bits(ends.count())
     keyed = given.withColumn("key", F.xxhash64("doc"))
     held_words = staged(keyed.mapInArrow(_Words(key_filter(ends, "key", bits), bits), f"doc_id {id_type}, doc long, words array<int>"))
     mine = held_words.select("doc", F.col("words").alias("mine"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -14,11 +13,10 @@ _WORD = 63  # bits used of each long, so that no sign gets in the way
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under `spark.checkpoint.dir`, which is set to a temporary folder where nobody has set it."""
+    """A new folder under `spark.checkpoint.dir`, or where that is unset under the warehouse, which executors share too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="llm-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -51,28 +49,37 @@ def small(df: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFram
     return F.broadcast(held) if total <= limit else held
 
 
-def key_filter(keys: DataFrame, column: str, bits: int = 24) -> np.ndarray:
-    """A bitmap of 2**bits bits with a bit for each 64-bit key: keys that miss it are not in `keys`.
+def filter_bits(keys: int) -> int:
+    """Bits, as a power of two, of a filter for so many keys: 1,024 or more for each up to the largest filter, 8 MB."""
+    return min(26, max(16, int(keys * 1024).bit_length()))
 
-    Its size is fixed: the driver gets at most 2**bits / 63 longs, whatever the number of keys. A false hit costs a row
-    that a later join drops.
+
+def key_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A Bloom filter of 2**bits bits for evenly spread 64-bit keys: those that miss it are not in `keys`.
+
+    Its size is fixed: the driver gets at most 2**bits / 63 longs, and two for each key. Each key sets the bits its
+    upper and its next `bits` bits name. A false hit costs a row that a later join drops.
     """
-    slot = F.shiftrightunsigned(F.col(column), 64 - bits)
-    bit = F.expr("shiftleft(1L, cast(slot % 63 as int))")
     parts = (
         keys.where(F.col(column).isNotNull())
-        .select(slot.alias("slot"))
-        .groupBy(F.expr("cast(slot div 63 as int)").alias("word"))
-        .agg(F.bit_or(bit).alias("mask"))
+        .select(F.explode(F.expr(f"array(shiftrightunsigned({column}, {64 - bits}), shiftrightunsigned(shiftleft({column}, {bits}), {64 - bits}))")).alias("slot"))
+        .groupBy(F.expr(f"cast(slot div {_WORD} as int)").alias("word"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(slot % {_WORD} as int))")).alias("mask"))
     )
-    got = parts.toPandas()
+    got = parts.toArrow()
     out = np.zeros((1 << bits) // _WORD + 1, np.uint64)
-    out[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).astype(np.uint64)
+    out[got["word"].to_numpy()] = got["mask"].to_numpy().view(np.uint64)
     return out
 
 
-def maybe_in(bitmap: np.ndarray, keys: np.ndarray, bits: int = 24) -> np.ndarray:
-    """Which of the keys may be among those the bitmap was made of."""
-    slot = keys.astype(np.uint64) >> np.uint64(64 - bits)
-    word, bit = slot // np.uint64(_WORD), slot % np.uint64(_WORD)
-    return (bitmap[word.astype(np.int64)] >> bit) & np.uint64(1) != 0
+def maybe_in(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the keys may be among those the filter was made of."""
+
+    def has(slot: np.ndarray) -> np.ndarray:
+        return (bitmap[(slot // np.uint64(_WORD)).astype(np.int64)] >> slot % np.uint64(_WORD)) & np.uint64(1) != 0
+
+    keys, shift = keys.astype(np.uint64), np.uint64(64 - bits)
+    found = has(keys >> shift)
+    near = np.flatnonzero(found)
+    found[near] = has((keys[near] << np.uint64(bits)) >> shift)
+    return found
