@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[ord("0") : ord("9") + 1] = _WORD_BYTE[ord("a") : ord("z") + 1] = _WORD_BYTE[128:] = True
