@@ -8,14 +8,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.llm.text import slices
 
 DICTIONARY_BYTES = 256 << 10
 MAX_LANGUAGES = 200
+PIECE = 2048  # characters of a text that are drawn together
+WIDENED = 4.0  # times the share drawn before, where that fell short
 CHUNK_BYTES = 2 << 10
 LEVEL = 5
 MIN_MARGIN = 0.02
@@ -38,7 +41,7 @@ class Verdict(NamedTuple):
 
 
 class Model(NamedTuple):
-    """Languages, most frequent first, and the raw content their dictionaries are made of."""
+    """Languages, those of most distinct text first, and the raw content their dictionaries are made of."""
 
     contents: dict[str, bytes]
     level: int = LEVEL
@@ -60,7 +63,7 @@ class Coders:
             self.coders.append(zstandard.ZstdCompressor(dict_data=held, level=model.level, **options))
 
     def verdict(self, text: str | None) -> Verdict:
-        """The language whose dictionary makes the text smallest; ties go to the more frequent one.
+        """The language whose dictionary makes the text smallest; ties go to the one of more distinct text.
 
         Long texts are coded in pieces, so that the dictionary counts throughout and not only until the text has filled the
         window with itself. The margin is how much larger the second smallest is, as a share of it.
@@ -81,31 +84,63 @@ class Coders:
 
 
 def train(docs: DataFrame, size: int = DICTIONARY_BYTES, max_languages: int = MAX_LANGUAGES) -> Model:
-    """A dictionary of about `size` bytes for each language of `docs` (text, lang): the texts with the smallest hashes.
+    """A dictionary of about `size` bytes for each language of `docs` (text, lang): the pieces with the smallest hashes.
 
-    The sample is bounded: of each language come to the driver the whole texts that together reach `size`, or all where
-    there is less. A share of each language is set from its total bytes first, so no language is gathered in one task.
-    Null texts and languages are left out. More than `max_languages` languages are refused.
+    The sample is bounded: of each language come to the driver pieces of texts, cut to letters, that together reach `size`,
+    or all where there is less. Equal texts of a language count once. A share of each language is set from the bytes of its
+    distinct texts first, so no language is gathered in one task, and widened where what was drawn falls short. Null texts
+    and languages are left out, and so are languages without a letter. More than `max_languages` languages are refused.
     """
-    given = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    totals = given.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).limit(max_languages + 1)
-    share = {r.lang: size * 2 / max(r.bytes, 1) for r in sorted(totals.collect(), key=lambda r: (-r.bytes, r.lang))}
+    given = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text", F.xxhash64("text").alias("hash"))
+    distinct = given.groupBy("lang", "hash").agg(F.max(F.octet_length("text")).alias("bytes"))
+    totals = distinct.groupBy("lang").agg(F.sum("bytes").alias("bytes")).limit(max_languages + 1)
+    share = {r.lang: size * 2 / r.bytes for r in sorted(totals.collect(), key=lambda r: (-r.bytes, r.lang))}
     if not share or len(share) > max_languages:
         raise ValueError(f"between 1 and {max_languages} languages can be told apart, not {len(share)}")
-    shares = docs.sparkSession.createDataFrame(list(share.items()), "lang string, share double")
-    draw = F.shiftrightunsigned(F.xxhash64("text"), 11) / float(1 << 53)
-    drawn = given.withColumn("draw", draw).join(F.broadcast(shares), "lang").where(F.col("draw") < F.col("share"))
-    # Equal texts have equal hashes: one of them is enough.
-    texts = drawn.groupBy("lang", "draw").agg(F.max("text").alias("text")).collect()
-    contents = {}
-    for name in share:
-        held, total = [], 0
-        for row in sorted((r for r in texts if r.lang == name), key=lambda r: r.draw):
-            if total < size:
-                held.append(letters(row.text))
-                total += len(held[-1])
-        contents[name] = b"".join(held)
-    return Model({k: v for k, v in contents.items() if len(v) >= 8})
+    contents, short = {}, list(share)
+    while short:
+        drawn = _drawn(given, {name: share[name] for name in short})
+        for name in short:
+            held, total = [], 0
+            for _, piece in drawn.get(name, []):
+                if total < size:
+                    held.append(piece)
+                    total += len(piece)
+            contents[name] = b"".join(held)
+        short = [name for name in short if len(contents[name]) < size and share[name] < 1]
+        share |= {name: share[name] * WIDENED for name in short}
+    # A dictionary has 8 bytes at least.
+    model = Model({name: contents[name] * -(-8 // len(contents[name])) for name in share if contents[name]})
+    if not model.contents:
+        raise ValueError("the texts of all languages are without letters")
+    return model
+
+
+def _drawn(given: DataFrame, share: dict[str, float]) -> dict[str, list[tuple[float, bytes]]]:
+    """By language, the letters of the pieces of texts whose hash is below the language's share, smallest hashes first."""
+    shares = given.sparkSession.createDataFrame(list(share.items()), "lang string, share double")
+
+    def draw(piece: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64("hash", piece), 11) / float(1 << 53)
+
+    places = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))
+    below = given.join(F.broadcast(shares), "lang").select(
+        "lang", "hash", "text", F.explode(F.filter(places, lambda k: draw(k) < F.col("share"))).alias("piece")
+    )
+    pieces = below.select("lang", draw(F.col("piece")).alias("draw"), F.col("text").substr(F.col("piece") * PIECE + 1, F.lit(PIECE)).alias("text"))
+    # Pieces of equal texts have equal hashes: one of them is enough.
+    pieces = pieces.groupBy("lang", "draw").agg(F.max("text").alias("text"))
+
+    def lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([letters(text) for text in batch.column("text").to_pylist()], pa.binary())
+            made = pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("draw"), found], ["lang", "draw", "piece"])
+            yield made.filter(pc.greater(pc.binary_length(found), 1))
+
+    out: dict[str, list[tuple[float, bytes]]] = {}
+    for row in pieces.mapInArrow(lettered, "lang string, draw double, piece binary").collect():
+        out.setdefault(row.lang, []).append((row.draw, bytes(row.piece)))
+    return {name: sorted(held) for name, held in out.items()}
 
 
 def identify(docs: DataFrame, model: Model, min_margin: float = MIN_MARGIN) -> DataFrame:

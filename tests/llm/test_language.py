@@ -71,3 +71,27 @@ def test_verdict_is_the_smallest_code(case):
             sizes[name] = len(packed)
             assert zstandard.ZstdDecompressor(dict_data=own).decompress(packed, max_output_size=len(data)) == data
         assert sizes[coders.verdict(given).language] == min(sizes.values())
+
+
+def test_few_long_texts_and_copies_reach_the_size(spark):
+    """A language of three long texts, one of many copies of few texts, one of few letters among digits, one of one short text."""
+    rng = random.Random(10)
+    size = 4 << 10
+    texts = [(text(rng, "aa", 40_000), "aa") for _ in range(3)]
+    own = [text(rng, "bb", 150) for _ in range(40)]
+    texts += [(t, "bb") for t in own] + [(own[0], "bb")] * 4000
+    texts += [(text(rng, "cc", 1) + " 7" * 1000, "cc") for _ in range(400)] + [("qu", "dd"), ("", "ee"), ("12", "ff")]
+    docs = corpus.frame(spark, [t for t, _ in texts], langs=[lang for _, lang in texts])
+    model = language.train(docs, size)
+    assert set(model.contents) == {"aa", "bb", "cc", "dd"}
+    whole = {lang: sum(len(language.letters(t)) for t, other in set(texts) if other == lang) for lang in model.contents}
+    for lang in ("aa", "bb", "cc"):
+        assert min(size, whole[lang]) <= len(model.contents[lang]) <= size + 4 * language.PIECE
+    assert sum(" ".join(t.split()[5:25]).encode() in model.contents["bb"] for t in own) > 1
+    rows = language.identify(docs.where("doc_id < 3 or lang = 'bb'").limit(200), model).collect()
+    assert all(r.lang_pred == r.lang for r in rows)
+
+
+def test_texts_without_letters_are_refused(spark):
+    with pytest.raises(ValueError, match="letters"):
+        language.train(corpus.frame(spark, ["1 2 3", "--"], langs=["aa", "bb"]))
