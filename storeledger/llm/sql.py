@@ -49,6 +49,41 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
 FROM placed
 """
 
+# Shares are found in rounds; two passes in an order drawn from id and text, cut at the target.
+MIXING = r"""
+WITH RECURSIVE sized AS (
+    SELECT row_number() OVER () AS place, doc_id, source,
+        CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+        md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))) AS mark
+    FROM documents
+),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+weighed AS (
+    SELECT *, CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS BIGINT) AS weight FROM totals
+),
+rounds AS (
+    SELECT 0 AS round, source, source_size, weight, FALSE AS full_up, 0.0::DOUBLE AS level FROM weighed
+    UNION ALL
+    SELECT round + 1, source, source_size, weight, 2 * source_size / weight <= next, next FROM (
+        SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(2 * source_size) FILTER (full_up) OVER (), 0))
+            / sum(weight) FILTER (NOT full_up) OVER () AS next
+        FROM rounds
+    ) WHERE round < 100 AND next > level
+),
+sources AS (
+    SELECT source, source_size, least(max(level) * weight, 2 * source_size) AS target
+    FROM rounds GROUP BY source, source_size, weight
+),
+drawn AS (
+    SELECT place, CAST(round(target) AS BIGINT) AS words, size, pass * source_size + sum(size) OVER (
+        PARTITION BY sized.source, pass ORDER BY md5(pass || ':' || mark), place ROWS UNBOUNDED PRECEDING) - size AS start
+    FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source, unnest([0, 1]) AS passes(pass)
+),
+takes AS (SELECT place, CAST(sum(greatest(0, least(start + size, words) - start)) AS BIGINT) AS taken FROM drawn GROUP BY place)
+SELECT doc_id, size, source_size, target, taken
+FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source JOIN takes USING (place)
+"""
+
 
 def build_oracle() -> dict[str, str]:
-    return {"op4_sharding": SHARDING, "op10_line_dedup": LINE_DEDUP}
+    return {"op4_sharding": SHARDING, "op10_line_dedup": LINE_DEDUP, "op13_mixing": MIXING}
