@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import ann, decontaminate, html, language, lines, minhash, mixing, packing, passages, quality, sharding
+from storeledger.llm import ann, decontaminate, html, language, lines, minhash, mixing, packing, passages, quality, sharding, turntrie
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,10 @@ def op10_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     return lines.drop_site_boilerplate(docs)
 
 
+def op11_turn_trie(spark: SparkSession, root: str) -> DataFrame:
+    return turntrie.conversation_trie(table(spark, root, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
 def op13_mixing(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text", "source"])
     return mixing.words_taken(mixing.mix(docs)).withColumnRenamed("key", "doc_id")
@@ -100,5 +104,6 @@ def build_queries() -> dict[str, Query]:
         "op8_nearest": op8_nearest,
         "op9_passages": op9_passages,
         "op10_line_dedup": op10_line_dedup,
+        "op11_turn_trie": op11_turn_trie,
         "op13_mixing": op13_mixing,
     }

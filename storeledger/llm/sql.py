@@ -84,6 +84,57 @@ SELECT doc_id, size, source_size, target, taken
 FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source JOIN takes USING (place)
 """
 
+# Every prefix of every rebuilt conversation as a list of turns; equal prefixes are one node.
+TURN_TRIE = """
+WITH steps AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+        lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS steps
+),
+ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+forks AS (
+    SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x))),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 9 AS h
+    FROM ids, steps
+),
+given AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations GROUP BY conv_id
+),
+rebuilt AS (
+    SELECT f.conv_id, CASE WHEN f.conv_id = f.base THEN own.turns
+        ELSE list_concat(coalesce(base.turns[1:h], []), own.turns[h + 1:]) END AS turns
+    FROM forks AS f JOIN given AS own USING (conv_id) LEFT JOIN given AS base ON base.conv_id = f.base
+),
+prefixes AS (
+    SELECT conv_id, d AS depth, turns[1:d] AS turns, d = len(turns) AS ended
+    FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+    SELECT depth, turns, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(octet_length(encode(turns[depth].text)), 0) AS bytes,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, turns
+),
+children AS (
+    SELECT p.depth, p.turns, count(*) AS n_children
+    FROM nodes AS p JOIN nodes AS c ON c.depth = p.depth + 1 AND c.turns[1:c.depth - 1] = p.turns GROUP BY ALL
+),
+below AS (
+    SELECT up AS depth, turns[1:up] AS turns, sum((n_convs - 1) * bytes) AS saved, count(*) FILTER (leaf) AS leaves
+    FROM (
+        SELECT n.*, n_children IS NULL AS leaf, unnest(range(n.depth + 1)) AS up
+        FROM nodes AS n LEFT JOIN children AS c ON c.depth = n.depth AND c.turns = n.turns
+    ) GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+    leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes AS n
+JOIN below AS b ON b.depth = n.depth AND b.turns = n.turns
+LEFT JOIN children AS c ON c.depth = n.depth AND c.turns = n.turns
+LEFT JOIN nodes AS p ON p.depth = n.depth - 1 AND p.turns = n.turns[1:n.depth - 1]
+"""
+
 
 def build_oracle() -> dict[str, str]:
-    return {"op4_sharding": SHARDING, "op10_line_dedup": LINE_DEDUP, "op13_mixing": MIXING}
+    return {"op4_sharding": SHARDING, "op10_line_dedup": LINE_DEDUP, "op11_turn_trie": TURN_TRIE, "op13_mixing": MIXING}

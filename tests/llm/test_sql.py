@@ -18,6 +18,9 @@ def edges(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("edges")
     texts = [None, "", "a", "menu\nown 1", "menu\nown 2", "menu\n\nmenu", "menu\nü", "x\n" * 50, "a", "menu"]
     corpus.frame(spark, texts, [*range(8), None, 3], sources=["s"] * 7 + [None, None, "t"]).write.parquet(f"{root}/documents.parquet")
+    turns = [(c, t or None, "user", f"turn {min(c, t)}" if t < 3 else None) for c in [0, 1, 2, 4, 7, 9, 15] for t in range(c % 6)]
+    turns += [(None, 0, "user", "lost"), (12, 0, None, "")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{root}/conversations.parquet")
     return root
 
 
@@ -28,9 +31,10 @@ def test_matches_sql(spark, edges, name, where):
     if not root.exists():
         pytest.skip("driver tables not present")
     found = build_queries()[name](spark, str(root))
-    path = root / "documents.parquet"
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}{'/*.parquet' if path.is_dir() else ''}'")
+    for path in (root / f"{t}.parquet" for t in ("documents", "conversations", "embeddings")):
+        if path.exists():
+            connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}{'/*.parquet' if path.is_dir() else ''}'")
     columns = sorted(found.columns)
     theirs = connection.execute(f"SELECT {', '.join(columns)} FROM ({build_oracle()[name]})").fetchall()
     ours = [tuple(r) for r in found.select(*columns).collect()]
