@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeledger.llm import ann, decontaminate, html, language, lines, minhash, mixing, packing, passages, quality, sharding, turntrie
+from storeledger.llm import ann, decontaminate, html, language, lines, minhash, mixing, negatives, packing, passages, quality, sharding, turntrie
 from storeledger.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,13 @@ def op11_turn_trie(spark: SparkSession, root: str) -> DataFrame:
     return turntrie.conversation_trie(table(spark, root, "conversations", ["conv_id", "turn", "role", "text"]))
 
 
+def op12_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "embeddings", ["vec_id", "embedding", "label"])
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.hard_negatives(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
 def op13_mixing(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents", ["doc_id", "text", "source"])
     return mixing.words_taken(mixing.mix(docs)).withColumnRenamed("key", "doc_id")
@@ -105,5 +112,6 @@ def build_queries() -> dict[str, Query]:
         "op9_passages": op9_passages,
         "op10_line_dedup": op10_line_dedup,
         "op11_turn_trie": op11_turn_trie,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_mixing": op13_mixing,
     }

@@ -135,6 +135,37 @@ LEFT JOIN children AS c ON c.depth = n.depth AND c.turns = n.turns
 LEFT JOIN nodes AS p ON p.depth = n.depth - 1 AND p.turns = n.turns[1:n.depth - 1]
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same,
+        CAST(list_inner_product(a.parts, r.parts) AS BIGINT) AS score
+    FROM vectors AS a JOIN vectors AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.parts) = len(r.parts)
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+    score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""
+
 
 def build_oracle() -> dict[str, str]:
-    return {"op4_sharding": SHARDING, "op10_line_dedup": LINE_DEDUP, "op11_turn_trie": TURN_TRIE, "op13_mixing": MIXING}
+    return {
+        "op4_sharding": SHARDING,
+        "op10_line_dedup": LINE_DEDUP,
+        "op11_turn_trie": TURN_TRIE,
+        "op12_hard_negatives": HARD_NEGATIVES,
+        "op13_mixing": MIXING,
+    }

@@ -21,6 +21,9 @@ def edges(spark, tmp_path_factory):
     turns = [(c, t or None, "user", f"turn {min(c, t)}" if t < 3 else None) for c in [0, 1, 2, 4, 7, 9, 15] for t in range(c % 6)]
     turns += [(None, 0, "user", "lost"), (12, 0, None, "")]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{root}/conversations.parquet")
+    vectors = [(i, i % 3 if i % 11 else None, [((i * 7) % 13 - 4) / 9, (i % 5) / 3] if i % 13 else None) for i in range(330)]
+    vectors += [(1, 1, [float("nan"), 1.0]), (2, 2, [None, 0.0]), vectors[100], (500, 1, [0.5])]
+    spark.createDataFrame(vectors, "vec_id long, label int, embedding array<float>").write.parquet(f"{root}/embeddings.parquet")
     return root
 
 
