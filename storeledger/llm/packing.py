@@ -18,7 +18,7 @@ from storeledger.llm.tokens import Encoder
 SEQUENCE = 2048
 GROUP_PIECES = 8192
 END_ID = 1
-ENCODED_BYTES = 6 << 20  # of text encoded at a time
+ENCODED_BYTES = 1 << 20  # of text encoded at a time
 
 PIECES = "start long, length long, doc_tokens long, ids array<int>, ids_crc32 long"
 
