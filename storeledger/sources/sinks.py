@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Sequence
 
@@ -52,6 +53,26 @@ def write_table(
     return df.sparkSession.table(name)
 
 
+def overwrite_partitions(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
+    """Replace the folders of table `name` that `df` has rows for, and leave the others as they are.
+
+    `df` has the table's columns in the table's order, partition columns last, and does not read the table.
+    """
+    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(mode)
+    conf.set(mode, "dynamic")
+    try:
+        _rebalanced(df, partition_by).write.insertInto(name, overwrite=True)
+    finally:
+        conf.set(mode, before)
+
+
+def drop_partition(spark: SparkSession, name: str, column: str, value: datetime.date | None) -> None:
+    """Remove the folder of one date, or of NULL, from table `name`."""
+    shown = "null" if value is None else f"DATE'{value.isoformat()}'"
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {shown})")
+
+
 def export_result(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Write a result as a directory of part files, in parallel, replacing the previous export.
 
