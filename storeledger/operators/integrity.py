@@ -82,7 +82,8 @@ def with_status_domain(statuses: Sequence[str]) -> list[TableSpec]:
     return [replace(s, domains={"status": tuple(statuses)}) if s.name == "orders" else s for s in ALL_TABLES]
 
 
-def _row_rules(spec: TableSpec) -> dict[str, Column]:
+def row_rules(spec: TableSpec) -> dict[str, Column]:
+    """The declared rules that a row breaks by itself, as "column|constraint"."""
     rules = {f"{field.name}|not null": F.col(field.name).isNull() for field in spec.schema if not field.nullable}
     rules |= {f"{m.column}|minimum": _below(m) for m in spec.minimums}
     rules |= {f"{column}|domain": ~F.col(column).isin(*domain) for column, domain in spec.domains.items()}
@@ -100,7 +101,7 @@ def constraint_report(tables: Tables, specs: Sequence[TableSpec] = ALL_TABLES) -
     parts = []
     for spec in specs:
         df = getattr(tables, spec.name)
-        counts = [_counted(df, _row_rules(spec))]
+        counts = [_counted(df, row_rules(spec))]
         # Key rules read no price, and a price may take a join to find.
         keyed = tables.unpriced_lines if spec.name == "order_lines" else df
         counts.append(_key_rule(f"{spec.primary_key}|primary key", check_primary_key(keyed, spec.primary_key)))
