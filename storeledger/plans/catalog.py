@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storeledger.config import Rules
 from storeledger.functions.measures import is_valid_order
-from storeledger.operators import baskets, integrity, maintain, periods, sales
+from storeledger.operators import baskets, integrity, loading, maintain, periods, refresh, removal, sales
 from storeledger.operators.grains import order_amounts
 from storeledger.plans.jobs import PRICED, UNPRICED, Job, active_customers
-from storeledger.sources.schema import ALL_TABLES, Minimum
+from storeledger.sources.schema import ALL_TABLES, PRODUCTS, Minimum
 from storeledger.sources.sinks import CSV, export_result, shared_folder, write_table
 from storeledger.sources.star import STAR_RULES, shipped_lines, star_tables
-from storeledger.sources.tables import Tables, read_tables
+from storeledger.sources.tables import Tables, read_table, read_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Quarter in which not every customer buys and not every product sells.
 QUIET_QUARTER = ("1996-01-01", "1996-03-31")
 ACTIVITY_DAY = datetime.date(2000, 12, 31)
+# From this day on the snapshot to refresh is behind: lines of that month, cancellations of the next, all later orders.
+STALE_FROM = datetime.date(1999, 11, 1)
 
 
 def _query(job: Job, prices: bool = True, period: tuple[str, str] | None = None) -> Query:
@@ -84,6 +87,12 @@ def _checks_and_maintenance() -> dict[str, Query]:
             )
         ),
         "assign_ids": unpriced(_new_line_ids),
+        "refresh_months": _query(_refreshed_amounts),
+        "checked_load": _query(_load_verdicts),
+        "delete_rows": unpriced(_rows_after_deletes),
+        "delete_rows_blockers": unpriced(lambda t, r: _products_deleted(t).blockers),
+        "remap_ids": unpriced(_remapped_ranges),
+        "remap_ids_revenue": _query(lambda t, r: sales.revenue_by_category(_remapped(t), r)),
         "check_encoding": unpriced(lambda t, r: integrity.check_encoding(t.orders, "status", ("F", "O", "p"))),
     }
 
@@ -121,7 +130,9 @@ def _read_profile(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _read_defaults(spark: SparkSession, root: str) -> DataFrame:
-    return _stored_shop(spark, root, without_stock=True).products
+    folder = _work_folder(spark)
+    star_tables(spark, root).products.drop("stock").write.parquet(f"{folder}/products")
+    return read_table(spark, folder, PRODUCTS)
 
 
 def _table_profile(tables: Tables, rules: Rules) -> DataFrame:
@@ -187,5 +198,81 @@ def _new_line_ids(tables: Tables, rules: Rules) -> DataFrame:
     )
 
 
+def _refreshed_amounts(tables: Tables, rules: Rules) -> DataFrame:
+    """Order amounts after a snapshot that is behind from STALE_FROM on was brought up to date month by month."""
+    spark = tables.orders.sparkSession
+    prefix, folder = f"refresh_{uuid.uuid4().hex}_", _work_folder(spark)
+    day = F.col("order_date")
+    second, third = (F.add_months(F.lit(STALE_FROM), n) for n in (1, 2))
+    uncancelled = F.when((day >= second) & F.col("status").isin(*rules.excluded_statuses), F.lit(rules.statuses[0]))
+    old_orders = tables.orders.filter(day < third).withColumn("status", F.coalesce(uncancelled, "status"))
+    late = tables.orders.filter((day >= F.lit(STALE_FROM)) & (day < second)).select(F.col("id").alias("order_id"))
+    old_lines = tables.order_lines.join(late, "order_id", "left_anti")
+    maintain.refresh_snapshots(tables.replaced(orders=old_orders, order_lines=old_lines), rules, prefix, by_month=True)
+
+    changed = tables.orders.filter(day >= F.lit(STALE_FROM))
+    fresh = refresh.refresh_months(tables, rules, changed, prefix, folder)
+    export_result(order_amounts(fresh, rules), f"{folder}/amounts")
+    for name in ("order_amounts", "monthly_revenue", "monthly_summary"):
+        spark.sql(f"DROP TABLE {prefix}{name}")
+    return spark.read.parquet(f"{folder}/amounts")
+
+
+def _load_verdicts(tables: Tables, rules: Rules) -> DataFrame:
+    """Rows accepted and rejected for each reason, where orders may not be cancelled and a line's key is order and number."""
+    lines = tables.order_lines.withColumn("id", F.col("order_id") * 10 + F.col("id"))
+    specs = integrity.with_status_domain([s for s in rules.statuses if s not in rules.excluded_statuses])
+    loaded = loading.checked_load(tables.replaced(order_lines=lines), _work_folder(lines.sparkSession), specs)
+    parts = []
+    for spec in specs:
+        name = F.lit(spec.name).alias("table_name")
+        accepted = getattr(loaded.accepted, spec.name).select(name, F.lit("accepted").alias("verdict"))
+        parts += [accepted, loaded.rejected[spec.name].select(name, F.explode(loading.REASONS).alias("verdict"))]
+    return reduce(DataFrame.union, parts).groupBy("table_name", "verdict").agg(F.count("*").alias("rows"))
+
+
+def _products_deleted(tables: Tables) -> removal.Deleted:
+    folder = _work_folder(tables.products.sparkSession)
+    return removal.delete_rows(tables, "products", tables.products.filter("stock < 10"), folder=folder)
+
+
+def _rows_after_deletes(tables: Tables, rules: Rules) -> DataFrame:
+    """What remains of each table once the cancelled orders, and apart from that the products short in stock, are deleted."""
+    cancelled = tables.orders.filter(F.col("status").isin(*rules.excluded_statuses))
+    of_orders = removal.delete_rows(tables, "orders", cancelled, folder=_work_folder(tables.orders.sparkSession))
+    plans = {"orders": of_orders, "products": _products_deleted(tables)}
+    parts = [
+        rows.agg(F.count("*").alias("rows"), F.sum(F.col("id").cast("decimal(28,0)")).alias("id_sum")).select(
+            F.lit(plan).alias("deleted_from"), F.lit(name).alias("table_name"), "rows", "id_sum"
+        )
+        for plan, deleted in plans.items()
+        for name, rows in deleted.remaining.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _remapped(tables: Tables) -> Tables:
+    return loading.remap_ids(tables, tables, folder=_work_folder(tables.orders.sparkSession))
+
+
+def _remapped_ranges(tables: Tables, rules: Rules) -> DataFrame:
+    """The shop's rows loaded a second time: the new ids of each table, and how many references still find their parent."""
+    found = _remapped(tables)
+    parts = []
+    for spec in ALL_TABLES:
+        rows = getattr(found, spec.name)
+        matched = F.lit(0).cast("long")
+        for r in spec.references:
+            parent = getattr(found, r.parent).select(F.col("id").alias(r.column), F.lit(1).alias(f"has_{r.column}"))
+            rows = rows.join(parent, r.column, "left")
+            matched = matched + F.count(f"has_{r.column}")
+        parts.append(
+            rows.agg(F.count("*").alias("rows"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), matched.alias("matched")).select(
+                F.lit(spec.name).alias("table_name"), "*"
+            )
+        )
+    return reduce(DataFrame.union, parts)
+
+
 def build_queries() -> dict[str, Query]:
     return _analyses() | _checks_and_maintenance()

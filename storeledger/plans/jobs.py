@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from storeledger.config import Rules
-from storeledger.operators import baskets, cities, discounts, explore, periods, products, quality, sales
+from storeledger.operators import activity, baskets, cities, discounts, explore, periods, products, quality, sales
 from storeledger.operators.grains import order_amounts
 from storeledger.sources.sinks import export_result
 from storeledger.sources.tables import Tables
@@ -66,6 +66,9 @@ PRICED: dict[str, Job] = {
     "best_months": periods.best_months,
     "worst_months": periods.worst_months,
     "semester_summary": periods.semester_summary,
+    "monthly_calendar": periods.monthly_calendar,
+    "semester_calendar": periods.semester_calendar,
+    "active_customers_by_month": activity.active_customers_by_month,
     "sales_kpis": sales.sales_kpis,
     "top_customers": sales.top_customers,
     "missing_order_lines": quality.missing_order_lines,

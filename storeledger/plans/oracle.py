@@ -173,6 +173,86 @@ def _profile(name: str, table: str, key: str, measure: str) -> str:
     {_money(f"SUM({measure})")} AS measure FROM {table}"""
 
 
+_HALF = "date_trunc('year', order_date) + CASE WHEN month(order_date) < 7 THEN INTERVAL 0 MONTH ELSE INTERVAL 6 MONTH END"
+_HALVES = f"SELECT CAST({_HALF} AS DATE) AS start, {_ORDERS} AS orders, {_REVENUE} AS revenue FROM s_sales GROUP BY 1"
+_HALF_NAME = "strftime({0}, '%Y') || ' - ' || CASE WHEN month({0}) < 7 THEN '1er semestre' ELSE '2e semestre' END"
+
+
+def _spine(step: str, months: int) -> str:
+    """Every month or half-year from the first sale to the last."""
+    return f"""SELECT CAST(unnest(generate_series(MIN({step}), MAX({step}), INTERVAL {months} MONTH)) AS DATE) AS start
+        FROM s_sales"""
+
+
+def _windows() -> str:
+    """Each calendar month with the sales of the year up to its last day."""
+    return f"""SELECT strftime(start, '%Y-%m') AS month, {_REVENUE} AS revenue, {_ORDERS} AS orders,
+        {_ratio("SUM(amount)", _ORDERS, 2)} AS average_basket, COUNT(DISTINCT customer_id) AS active_customers
+    FROM ({_spine("date_trunc('month', order_date)", 1)}) LEFT JOIN s_sales
+        ON order_date <= last_day(start) AND order_date > last_day(start) - INTERVAL 12 MONTH
+    GROUP BY start"""
+
+
+def _verdicts() -> str:
+    """Every row with the rules it breaks, parents first."""
+
+    def tagged(name: str, table: str, reasons: dict[str, str]) -> str:
+        cases = ", ".join(f"CASE WHEN {condition} THEN '{reason}' END" for reason, condition in reasons.items())
+        return f"{name} AS (SELECT *, list_filter([{cases}], lambda x: x IS NOT NULL) AS reasons FROM {table})"
+
+    def repeated(table: str, column: str) -> str:
+        return f"{column} IN (SELECT {column} FROM {table} GROUP BY {column} HAVING COUNT(*) > 1)"
+
+    def missing(column: str, parent: str, tag: str) -> dict[str, str]:
+        known, sound = f"(SELECT id FROM {parent})", f"(SELECT id FROM {tag} WHERE len(reasons) = 0)"
+        return {
+            f"{column}|reference": f"{column} NOT IN {known}",
+            f"{column}|parent rejected": f"{column} IN {known} AND {column} NOT IN {sound}",
+        }
+
+    def plain(columns: list[str], lengths: dict[str, int]) -> dict[str, str]:
+        rules = {f"{c}|not null": f"{c} IS NULL" for c in columns}
+        return rules | {f"{c}|length": f"length({c}) > {n}" for c, n in lengths.items()}
+
+    names = {"last_name": 50, "first_name": 50, "email": 100, "city": 100}
+    customers = plain(["id", *names, "signup_date"], names)
+    customers |= {"id|primary key": repeated("s_customers", "id"), "email|unique": repeated("s_customers", "email")}
+    products = plain(["id", "name", "category", "price", "stock"], {"name": 100, "category": 100})
+    products |= {"price|minimum": "price < 0", "stock|minimum": "stock < 0", "id|primary key": repeated("s_products", "id")}
+    orders = plain(["id", "customer_id", "order_date", "status"], {"status": 20})
+    orders |= {"status|domain": "status NOT IN ('F', 'O')", "id|primary key": repeated("s_orders", "id")}
+    orders |= missing("customer_id", "s_customers", "t_customers")
+    lines = plain(["id", "order_id", "product_id", "quantity", "unit_price"], {})
+    lines |= {"quantity|minimum": "quantity <= 0", "unit_price|minimum": "unit_price < 0", "id|primary key": repeated("keyed", "id")}
+    lines |= missing("order_id", "s_orders", "t_orders") | missing("product_id", "s_products", "t_products")
+    tables = {"customers": "t_customers", "products": "t_products", "orders": "t_orders", "order_lines": "t_lines"}
+    verdicts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, unnest(CASE WHEN len(reasons) = 0 THEN ['accepted'] ELSE reasons END) AS verdict FROM {tag}"
+        for name, tag in tables.items()
+    )
+    return f"""SELECT table_name, verdict, COUNT(*) AS rows FROM (
+        WITH keyed AS (SELECT * REPLACE (order_id * 10 + id AS id) FROM s_lines), {tagged("t_customers", "s_customers", customers)},
+        {tagged("t_products", "s_products", products)}, {tagged("t_orders", "s_orders", orders)},
+        {tagged("t_lines", "keyed", lines)} {verdicts}) GROUP BY ALL"""
+
+
+def _remaining(plan: str, kept: dict[str, str]) -> list[str]:
+    tables = {"customers": "s_customers", "products": "s_products", "orders": "s_orders", "order_lines": "s_lines"}
+    return [
+        f"""SELECT '{plan}' AS deleted_from, '{name}' AS table_name, COUNT(*) AS rows, CAST(SUM(id) AS DECIMAL(38,0)) AS id_sum
+        FROM {table} WHERE {kept.get(name, "TRUE")}"""
+        for name, table in tables.items()
+    ]
+
+
+def _loaded_again(name: str, table: str, matched: str) -> str:
+    return f"""SELECT '{name}' AS table_name, n AS rows, CASE WHEN n > 0 THEN last + 1 END AS first_id,
+        CASE WHEN n > 0 THEN last + n END AS last_id, CAST({matched} AS BIGINT) AS matched
+        FROM (SELECT COUNT(*) AS n, MAX(id) AS last FROM {table})"""
+
+
+_CANCELLED_ORDERS = "(SELECT id FROM s_orders WHERE status = 'P')"
+
 _QUERIES = {
     "product_catalog": f"{_PRODUCT_LIST} ORDER BY category, name",
     "products_above_price": f"{_PRODUCT_LIST} WHERE price > 950 ORDER BY price DESC",
@@ -214,11 +294,49 @@ _QUERIES = {
     "best_months": f"SELECT month, revenue, orders FROM ({_MONTHS}) ORDER BY revenue DESC NULLS FIRST, month LIMIT 6",
     "worst_months": f"SELECT month, revenue, orders FROM ({_MONTHS}) ORDER BY revenue, month LIMIT 6",
     "semester_summary": f"{_SEMESTERS} ORDER BY semester",
-    "semester_growth": f"""SELECT semester, orders, revenue, {_ratio("revenue", "orders", 2)} AS average_basket,
-        {_percent("revenue - before", "before", 1)} AS revenue_growth_pct,
-        {_percent("revenue * orders_before - before * orders", "before * orders", 1)} AS average_basket_growth_pct
-        FROM (SELECT *, LAG(revenue) OVER (ORDER BY semester) AS before, LAG(orders) OVER (ORDER BY semester) AS orders_before
-              FROM ({_SEMESTERS}))""",
+    "semester_growth": f"""SELECT {_HALF_NAME.format("now.start")} AS semester, now.orders, now.revenue,
+        {_ratio("now.revenue", "now.orders", 2)} AS average_basket,
+        {_percent("now.revenue - ago.revenue", "ago.revenue", 1)} AS revenue_growth_pct,
+        {_percent("now.revenue * ago.orders - ago.revenue * now.orders", "ago.revenue * now.orders", 1)}
+            AS average_basket_growth_pct
+        FROM ({_HALVES}) AS now LEFT JOIN ({_HALVES}) AS ago ON ago.start = now.start - INTERVAL 6 MONTH""",
+    "monthly_calendar": f"""SELECT strftime(start, '%Y-%m') AS month, COALESCE(orders, 0) AS orders,
+        CAST(CASE WHEN orders IS NULL THEN 0 ELSE revenue END AS DECIMAL(38,2)) AS revenue, average_basket
+        FROM ({_spine("date_trunc('month', order_date)", 1)}) LEFT JOIN ({_MONTHS}) ON month = strftime(start, '%Y-%m')""",
+    "semester_calendar": f"""SELECT {_HALF_NAME.format("s.start")} AS semester, COALESCE(orders, 0) AS orders,
+        CAST(CASE WHEN orders IS NULL THEN 0 ELSE revenue END AS DECIMAL(38,2)) AS revenue
+        FROM ({_spine(_HALF, 6)}) AS s LEFT JOIN ({_HALVES}) AS h ON h.start = s.start""",
+    "active_customers_by_month": _windows(),
+    "refresh_months": "SELECT * FROM s_amounts",
+    "checked_load": _verdicts(),
+    "delete_rows": " UNION ALL ".join(
+        [
+            *_remaining(
+                "orders",
+                {
+                    "orders": "status <> 'P' OR status IS NULL",
+                    "order_lines": f"order_id IS NULL OR order_id NOT IN {_CANCELLED_ORDERS}",
+                },
+            ),
+            *_remaining("products", {"products": f"stock >= 10 OR stock IS NULL OR NOT ({_NEVER_ORDERED})"}),
+        ]
+    ),
+    "delete_rows_blockers": """SELECT p.id AS deleted_id, 'order_lines' AS table_name, 'product_id' AS column_name,
+        p.id AS key, COUNT(*) AS rows FROM s_products p JOIN s_lines l ON l.product_id = p.id WHERE stock < 10 GROUP BY p.id""",
+    "remap_ids": " UNION ALL ".join(
+        [
+            _loaded_again("customers", "s_customers", "0"),
+            _loaded_again("products", "s_products", "0"),
+            _loaded_again("orders", "s_orders", "(SELECT COUNT(*) FROM s_orders o JOIN s_customers c ON c.id = customer_id)"),
+            _loaded_again(
+                "order_lines",
+                "s_lines",
+                """(SELECT COUNT(*) FROM s_lines l JOIN s_orders o ON o.id = order_id)
+                + (SELECT COUNT(*) FROM s_lines l JOIN s_products p ON p.id = product_id)""",
+            ),
+        ]
+    ),
+    "remap_ids_revenue": _CATEGORIES,
     "sales_kpis": _KPIS,
     "active_customers_window": f"{_KPIS} WHERE order_date > DATE '1999-12-31' AND order_date <= DATE '2000-12-31'",
     "cancellation_rate": f"""SELECT COUNT(*) AS orders, {_count(_CANCELLED)} AS cancelled_orders,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeledger.sources.schema import ALL_TABLES
+from storeledger.sources.schema import ALL_TABLES, TableSpec
 from storeledger.sources.sinks import CSV
 
 # Column of a stored order-amounts table that names its month's folder.
@@ -141,24 +141,33 @@ def read_tables(
 
     Statuses are read as they are, in either Unicode form; `maintain.store_tables` writes them in the declared one.
     """
+    return Tables(**{spec.name: read_table(spark, root, spec, fmt, options, names) for spec in ALL_TABLES})
+
+
+def read_table(
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+    names: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One table, as `read_tables` reads it."""
     reader_options = {**(CSV if fmt == "csv" else {}), **(options or {})}
-    frames = {}
-    for spec in ALL_TABLES:
-        called = {f.name: (names or {}).get(f"{spec.name}.{f.name}", f.name) for f in spec.schema}
-        folder = f"{root}/{(names or {}).get(spec.name, spec.name)}"
-        present = spark.read.format(fmt).options(**reader_options).load(folder).columns
-        absent = [name for name in spec.schema.names if called[name] not in present]
-        if unknown := [called[name] for name in absent if name not in spec.defaults]:
-            raise ValueError(f"{folder} has no column {', '.join(unknown)}")
-        given = {called[f.name]: f for f in spec.schema if f.name not in absent}
-        schema = T.StructType([T.StructField(c, f.dataType) for c, f in given.items()])
-        files = spark.read.schema(schema).format(fmt).options(**reader_options).load(folder)
-        columns = [
-            F.lit(spec.defaults[f.name]).cast(f.dataType).alias(f.name) if f.name in absent else F.col(f"`{called[f.name]}`").alias(f.name)
-            for f in spec.schema
-        ]
-        frames[spec.name] = files.select(*columns) if names or absent else files
-    return Tables(**frames)
+    called = {f.name: (names or {}).get(f"{spec.name}.{f.name}", f.name) for f in spec.schema}
+    folder = f"{root}/{(names or {}).get(spec.name, spec.name)}"
+    present = spark.read.format(fmt).options(**reader_options).load(folder).columns
+    absent = [name for name in spec.schema.names if called[name] not in present]
+    if unknown := [called[name] for name in absent if name not in spec.defaults]:
+        raise ValueError(f"{folder} has no column {', '.join(unknown)}")
+    given = {called[f.name]: f for f in spec.schema if f.name not in absent}
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in given.items()])
+    files = spark.read.schema(schema).format(fmt).options(**reader_options).load(folder)
+    columns = [
+        F.lit(spec.defaults[f.name]).cast(f.dataType).alias(f.name) if f.name in absent else F.col(f"`{called[f.name]}`").alias(f.name)
+        for f in spec.schema
+    ]
+    return files.select(*columns) if names or absent else files
 
 
 def tables_from_rows(spark: SparkSession, rows: Mapping[str, Iterable[tuple]]) -> Tables:

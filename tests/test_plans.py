@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from storeledger.plans.catalog import build_queries
 from star_fixtures import EDGES, write_star
 from storeledger import Rules, Tables
-from storeledger.operators import discounts, explore, maintain, products, quality, sales
+from storeledger.operators import discounts, explore, loading, maintain, products, quality, removal, sales
 from storeledger.operators.grains import valid_lines
 from storeledger.sources.schema import ALL_TABLES
 from storeledger.sources.sinks import write_table
@@ -27,7 +27,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"write_table", "export_result", "assign_ids", "read_tables", "apply_defaults"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"write_table", "export_result", "assign_ids", "read_tables", "apply_defaults", "refresh_months", "checked_load"}))
 def test_no_python_and_no_pairwise_join(spark, root, name):
     plan = _plan(QUERIES[name](spark, root))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -165,6 +165,13 @@ def test_hot_order_is_split_in_a_period_and_in_a_delete(spark, skewed, shuffled_
     assert "skew=true" in _final_plan(lines)
 
 
+def test_hot_order_is_split_in_deletes_over_all_tables_and_under_new_ids(spark, skewed, shuffled_joins):
+    # Every other order goes, so that the lines meet enough keys to be dealt out.
+    deleted = removal.delete_rows(skewed, "orders", skewed.orders.filter("id % 2 = 1"))
+    assert "skew=true" in _final_plan(deleted.remaining["order_lines"])
+    assert "skew=true" in _final_plan(loading.remap_ids(skewed, skewed).order_lines)
+
+
 @pytest.mark.parametrize(
     "job",
     [
