@@ -9,8 +9,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from storeledger.functions.text import canonical
+from storeledger.functions.text import canonical, redecoded, repaired
 from storeledger.sources.schema import ALL_TABLES, Minimum, TableSpec
 from storeledger.sources.tables import Tables
 
@@ -71,6 +72,20 @@ def check_encoding(df: DataFrame, column: str, domain: Sequence[str]) -> DataFra
     return check_domain(df, column, domain).withColumn("canonical", canonical(F.col(column), domain))
 
 
+def check_misdecoded(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """column_name, value, repaired, rows: text that was UTF-8 and read as Latin-1 or code page 1252, and what it was.
+
+    All text columns, or those named, in one pass; the test runs on the distinct values.
+    """
+    names = columns if columns is not None else [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    pairs = [F.struct(F.lit(name).alias("column_name"), F.col(f"`{name}`").alias("value")) for name in names]
+    none = F.array().cast("array<struct<column_name:string,value:string>>")
+    values = df.select(F.explode(F.array(*pairs) if pairs else none).alias("pair")).select("pair.*")
+    counts = values.filter(F.col("value").rlike("[^\\x00-\\x7F]")).groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+    found = counts.withColumn("repaired", F.when(redecoded(F.col("value")).isNotNull(), repaired(F.col("value"))))
+    return found.filter(F.col("repaired").isNotNull()).select("column_name", "value", "repaired", "rows")
+
+
 def _counted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """rule, violations: every row rule of a table in one scan."""
     counts = df.agg(*[F.count_if(broken).alias(rule) for rule, broken in rules.items()])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from storeledger.config import Rules
 from storeledger.functions.measures import month_start
-from storeledger.functions.text import canonical
+from storeledger.functions.text import canonical, repaired
 from storeledger.operators.grains import order_amounts
 from storeledger.operators.periods import monthly_revenue
 from storeledger.sources.schema import ALL_TABLES, TableSpec
@@ -47,6 +50,15 @@ def store_tables(tables: Tables, rules: Rules, root: str) -> Tables:
     return read_tables(df.sparkSession, root)
 
 
+def repair_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """`df` with UTF-8 text that was read as Latin-1 or code page 1252 put right, in all text columns or those named.
+
+    A value is repaired whole or not at all (see `functions.text.redecoded`); sound text, NULL and the other columns stay.
+    """
+    names = columns if columns is not None else [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    return df.withColumns({name: repaired(F.col(f"`{name}`")) for name in names}) if names else df
+
+
 def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Add each defaulted column that is absent. A NULL that was given stays NULL, for the not-null check to find."""
     absent = {c: F.lit(v).cast(spec.schema[c].dataType) for c, v in spec.defaults.items() if c not in df.columns}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from storeledger.config import Rules
 from storeledger.functions.measures import is_valid_order
-from storeledger.operators import baskets, integrity, loading, maintain, periods, refresh, removal, sales
+from storeledger.operators import baskets, integrity, loading, maintain, membership, periods, refresh, removal, sales
 from storeledger.operators.grains import order_amounts
 from storeledger.plans.jobs import PRICED, UNPRICED, Job, active_customers
 from storeledger.sources.schema import ALL_TABLES, PRODUCTS, Minimum
@@ -91,6 +91,9 @@ def _checks_and_maintenance() -> dict[str, Query]:
         "checked_load": _query(_load_verdicts),
         "delete_rows": unpriced(_rows_after_deletes),
         "delete_rows_blockers": unpriced(lambda t, r: _products_deleted(t).blockers),
+        "batch_orphans": unpriced(_lines_of_invalid_orders),
+        "check_misdecoded": unpriced(lambda t, r: integrity.check_misdecoded(_misread_customers(t), ["last_name", "city"])),
+        "repair_text": unpriced(lambda t, r: maintain.repair_text(_misread_customers(t))),
         "remap_ids": unpriced(_remapped_ranges),
         "remap_ids_revenue": _query(lambda t, r: sales.revenue_by_category(_remapped(t), r)),
         "check_encoding": unpriced(lambda t, r: integrity.check_encoding(t.orders, "status", ("F", "O", "p"))),
@@ -231,6 +234,22 @@ def _load_verdicts(tables: Tables, rules: Rules) -> DataFrame:
     return reduce(DataFrame.union, parts).groupBy("table_name", "verdict").agg(F.count("*").alias("rows"))
 
 
+def _lines_of_invalid_orders(tables: Tables, rules: Rules) -> DataFrame:
+    """The foreign-key check of all lines, as a batch, against the valid orders, as the stored table."""
+    folder = _work_folder(tables.orders.sparkSession)
+    return membership.batch_orphans(tables.order_lines, "order_id", _valid_orders(tables, rules), folder=folder)
+
+
+def _misread_customers(tables: Tables) -> DataFrame:
+    """Customers with an accent in each name, the even ones read as Latin-1 and every fourth one twice over."""
+    accented = F.concat("last_name", F.lit(" payée"))
+    once = F.decode(F.encode(accented, "UTF-8"), "ISO-8859-1")
+    twice = F.decode(F.encode(once, "UTF-8"), "ISO-8859-1")
+    id_ = F.col("id")
+    name = F.when(id_ % 4 == 0, twice).when(id_ % 2 == 0, once).otherwise(accented)
+    return tables.customers.withColumn("last_name", name)
+
+
 def _products_deleted(tables: Tables) -> removal.Deleted:
     folder = _work_folder(tables.products.sparkSession)
     return removal.delete_rows(tables, "products", tables.products.filter("stock < 10"), folder=folder)

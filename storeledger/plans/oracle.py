@@ -323,6 +323,13 @@ _QUERIES = {
     ),
     "delete_rows_blockers": """SELECT p.id AS deleted_id, 'order_lines' AS table_name, 'product_id' AS column_name,
         p.id AS key, COUNT(*) AS rows FROM s_products p JOIN s_lines l ON l.product_id = p.id WHERE stock < 10 GROUP BY p.id""",
+    "batch_orphans": """SELECT order_id, COUNT(*) AS rows FROM s_lines l
+        WHERE NOT EXISTS (SELECT 1 FROM s_orders o WHERE o.id = order_id AND status <> 'P') GROUP BY order_id""",
+    "check_misdecoded": """SELECT 'last_name' AS column_name, CASE WHEN id % 4 = 0 THEN last_name || ' pay' || chr(195) || chr(131) ||
+        chr(194) || chr(169) || 'e' ELSE last_name || ' pay' || chr(195) || chr(169) || 'e' END AS value,
+        last_name || ' payée' AS repaired, COUNT(*) AS rows
+        FROM s_customers WHERE id % 2 = 0 AND last_name IS NOT NULL GROUP BY ALL""",
+    "repair_text": "SELECT * REPLACE (last_name || ' payée' AS last_name) FROM s_customers",
     "remap_ids": " UNION ALL ".join(
         [
             _loaded_again("customers", "s_customers", "0"),

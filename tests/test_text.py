@@ -1,0 +1,85 @@
+"""Wrongly decoded text, and batches of keys against stored ones."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from storeledger.functions.text import redecoded, repaired
+from storeledger.operators import integrity, maintain, membership
+
+SOUND = ["payée", "Été", "plain", "", "日本", "naïve – “quoted”", "Ã", "Â£", None, "œuvre €", "é", "\x85", "Ÿ", "a\x00b"]
+
+
+def _misread(text, codec):
+    """As a reader that takes every byte for a character: undefined bytes of the code page are the controls of Latin-1."""
+    return "".join(bytes([b]).decode(codec, "ignore") or chr(b) for b in text.encode())
+
+
+def test_misread_text_is_put_right_and_sound_text_left(spark):
+    accented = ["payée", "Été à Noël", "œuvre €", "日本", "“x” – ÀÍÏÐÝ", "é"]
+    wrong = [(_misread(t, c), t) for t in accented for c in ("latin-1", "cp1252")]
+    wrong += [(_misread(_misread(t, c), c), t) for t in accented for c in ("latin-1", "cp1252")]
+    frame = spark.createDataFrame(wrong, "text string, want string").select("*", repaired(F.col("text")).alias("got"))
+    assert [r for r in frame.collect() if r.got != r.want] == []
+    kept = [t for t in SOUND if t != "Â£"]  # that one is what the pound sign turns into
+    same = spark.createDataFrame([(t,) for t in kept], "text string").select("text", redecoded(F.col("text")).alias("again")).collect()
+    assert [r for r in same if r.again is not None] == []
+
+
+def test_all_text_columns(spark):
+    frame = spark.createDataFrame([(1, "payÃ©e", "x", None), (2, "payée", "Ã‰", "y"), (3, "payÃ©e", None, "z")], "id long, a string, `b.c` string, d string")
+    assert [tuple(r) for r in maintain.repair_text(frame).collect()] == [(1, "payée", "x", None), (2, "payée", "É", "y"), (3, "payée", None, "z")]
+    found = integrity.check_misdecoded(frame).collect()
+    assert sorted(map(tuple, found)) == [("a", "payÃ©e", "payée", 2), ("b.c", "Ã‰", "É", 1)]
+    assert integrity.check_misdecoded(frame, []).collect() == [] and maintain.repair_text(frame, []).columns == frame.columns
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stored") / "parents")
+    spark.range(0, 20_000, 2).select("id", F.concat("id", F.lit("@x")).alias("email")).repartition(4).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batch_against_stored_keys(spark, stored):
+    batch = spark.createDataFrame([(k,) for k in [4, 4, 5, 6, 7, 7, None, 100_000, -2]], "parent long")
+    found = membership.batch_orphans(batch, "parent", stored)
+    full = integrity.check_foreign_key(batch, "parent", stored)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, full.collect())) == [(-2, 1), (5, 1), (7, 2), (100_000, 1)]
+    emails = spark.createDataFrame([(e,) for e in ["4@x", "5@x", "5@x", None, None, "9@x"]], "email string")
+    assert sorted(map(tuple, membership.batch_clashes(emails, "email", stored).collect())) == [("4@x", 1, True), ("5@x", 2, False)]
+    nothing = batch.filter("parent IS NULL")
+    assert membership.known_keys(nothing, "parent", stored).collect() == []
+    assert membership.batch_orphans(batch, "parent", stored.limit(0)).count() == 6
+
+
+def test_stored_keys_are_filtered_at_the_scan_and_stay_where_they_are(spark, stored):
+    batch = spark.createDataFrame([(k,) for k in range(50, 150)], "parent long")
+    known = membership.known_keys(batch, "parent", stored)
+    plan = _plan(known)
+    assert "GreaterThanOrEqual(id,50), LessThanOrEqual(id,149)" in plan
+    # The one exchange above the scan carries matches, already distinct in each task.
+    assert plan.count("Exchange hashpartitioning") == 1 and re.search(r"Exchange hashpartitioning.*\n.*HashAggregate.*\n.*Project.*\n.*BroadcastHashJoin", plan)
+
+
+def test_large_batches_use_a_bloom_filter(spark, stored, monkeypatch):
+    monkeypatch.setattr(membership, "BATCH_BYTES", 0)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        batch = spark.createDataFrame([(k,) for k in range(50, 150)], "parent long")
+        known = membership.known_keys(batch, "parent", stored)
+        assert "might_contain" in _plan(known)
+        assert sorted(r.parent for r in known.collect()) == list(range(50, 150, 2))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
