@@ -156,10 +156,20 @@ class Index(NamedTuple):
 
 
 def usable(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id, vector (doubles), width, va and vb (fingerprint), without null or zero vectors or those with null or non-finite parts."""
+    """vec_id, vector (doubles), width, va and vb (fingerprint), without null or zero vectors or those with null or non-finite parts.
+
+    A vector is scaled by the power of two that brings its largest part near 1. That changes no cosine, lets no square
+    vanish or overflow, and makes vectors equal that differ by such a factor.
+    """
     found = rows.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     found = found.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(sound & F.exists("vector", lambda x: x != 0))
+    largest = F.array_max(F.transform("vector", F.abs))
+    # Two factors, as one could be larger than any double.
+    half = F.floor(F.log2(largest) / 2)
+    down, rest = F.pow(F.lit(2.0), half), F.pow(F.lit(2.0), F.floor(F.log2(largest)) - half)
+    found = found.withColumns({"down": down, "rest": rest})
+    found = found.withColumn("vector", F.transform("vector", lambda x: x / F.col("down") / F.col("rest"))).drop("down", "rest")
     return found.withColumns(
         {
             "width": F.size("vector"),
@@ -257,15 +267,11 @@ def _shard_answer(row: dict[str, pa.Scalar], k: int, search_width: int) -> pa.Re
         length = np.sqrt((own**2).sum())
         nodes = graph.search((own / length).astype(np.float32), search_width)
         scores = (vectors[nodes] * own).sum(1) / (lengths[nodes] * length)
-        best = heapq.nsmallest(
-            k,
-            (
-                (-score, vec_id)
-                for score, node in heapq.nlargest(k + 1, zip(scores.tolist(), nodes))
-                for vec_id in members[node]
-                if vec_id != query["vec_id"]
-            ),
-        )
+        # Of equal scores the smaller id comes first, whatever the nodes' numbers: none that ties with the last is left out.
+        least = np.partition(scores, -(k + 1))[-(k + 1)] if len(scores) > k else -np.inf
+        near = [(score, node) for score, node in zip(scores.tolist(), nodes) if score >= least]
+        others = ((-score, vec_id) for score, node in near for vec_id in members[node] if vec_id != query["vec_id"])
+        best = heapq.nsmallest(k, others)
         out += [(query["vec_id"], query["va"], vec_id, -score) for score, vec_id in best]
     columns = list(zip(*out)) if out else [[], [], [], []]
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())

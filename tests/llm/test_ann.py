@@ -72,3 +72,21 @@ def test_every_vector_is_indexed(spark):
     table = spark.createDataFrame([(i, v, 0) for i, v in enumerate(rng.normal(size=(300, 8)).tolist())], SCHEMA)
     rows = ann.index(ann.usable(table), 6, 100).table.select(F.explode(F.flatten("members")).alias("id")).collect()
     assert sorted(r.id for r in rows) == list(range(300))
+
+
+def test_ties_go_to_the_smaller_id_and_tiny_or_huge_vectors_have_scores(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=6)
+    rows = [(i, (base * 2.0 ** (i % 31 - 15)).tolist()) for i in range(30)]
+    rows += [(100 + i, (rng.normal(size=6) * scale).tolist()) for i, scale in enumerate([1e-200, 1e200, 1e-300, 1e150, 1.0] * 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.nearest(frame, frame.where("vec_id in (0, 7, 100, 101, 102)")).collect()
+    first = {q: [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 7)}
+    assert first == {0: [1, 2, 3, 4, 5], 7: [0, 1, 2, 3, 4]}
+    unit = {v: np.array(x) / np.abs(x).max() for v, x in rows}
+    for r in found:
+        a, b = unit[r.query_id], unit[r.vec_id]
+        assert abs(r.score - a @ b / np.sqrt((a @ a) * (b @ b))) < 1e-12
+    for query in (100, 101, 102):
+        scores = {v: unit[query] @ x / np.sqrt((unit[query] @ unit[query]) * (x @ x)) for v, x in unit.items() if v != query}
+        assert min(r.score for r in found if r.query_id == query) >= sorted(scores.values())[-5] - 1e-9
