@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -24,7 +23,6 @@ LEVEL = 5
 MIN_MARGIN = 0.02
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 # ASCII marks, digits and blanks become spaces; letters are lowered before.
 _LETTERS_ONLY = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
@@ -68,7 +66,7 @@ class Coders:
         Long texts are coded in pieces, so that the dictionary counts throughout and not only until the text has filled the
         window with itself. The margin is how much larger the second smallest is, as a share of it.
         """
-        if text is None or not _LETTER.search(text):
+        if not self.languages or text is None or not any(map(str.isalpha, text)):
             return Verdict(UNKNOWN, 0.0, 0.0)
         data = letters(text)
         sizes = np.zeros(len(self.coders))
@@ -89,14 +87,15 @@ def train(docs: DataFrame, size: int = DICTIONARY_BYTES, max_languages: int = MA
     The sample is bounded: of each language come to the driver pieces of texts, cut to letters, that together reach `size`,
     or all where there is less. Equal texts of a language count once. A share of each language is set from the bytes of its
     distinct texts first, so no language is gathered in one task, and widened where what was drawn falls short. Null texts
-    and languages are left out, and so are languages without a letter. More than `max_languages` languages are refused.
+    and languages are left out, and so are languages without a letter. More than `max_languages` languages are refused. Where
+    nothing is left, no table to learn from or no letter in it, the model knows no language.
     """
     given = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select("lang", "text", F.xxhash64("text").alias("hash"))
     distinct = given.groupBy("lang", "hash").agg(F.max(F.octet_length("text")).alias("bytes"))
     totals = distinct.groupBy("lang").agg(F.sum("bytes").alias("bytes")).limit(max_languages + 1)
     share = {r.lang: size * 2 / r.bytes for r in sorted(totals.collect(), key=lambda r: (-r.bytes, r.lang))}
-    if not share or len(share) > max_languages:
-        raise ValueError(f"between 1 and {max_languages} languages can be told apart, not {len(share)}")
+    if len(share) > max_languages:
+        raise ValueError(f"up to {max_languages} languages can be told apart, not {len(share)}")
     contents, short = {}, list(share)
     while short:
         drawn = _drawn(given, {name: share[name] for name in short})
@@ -110,10 +109,7 @@ def train(docs: DataFrame, size: int = DICTIONARY_BYTES, max_languages: int = MA
         short = [name for name in short if len(contents[name]) < size and share[name] < 1]
         share |= {name: share[name] * WIDENED for name in short}
     # A dictionary has 8 bytes at least.
-    model = Model({name: contents[name] * -(-8 // len(contents[name])) for name in share if contents[name]})
-    if not model.contents:
-        raise ValueError("the texts of all languages are without letters")
-    return model
+    return Model({name: contents[name] * -(-8 // len(contents[name])) for name in share if contents[name]})
 
 
 def _drawn(given: DataFrame, share: dict[str, float]) -> dict[str, list[tuple[float, bytes]]]:
@@ -147,7 +143,7 @@ def identify(docs: DataFrame, model: Model, min_margin: float = MIN_MARGIN) -> D
     """`docs` with lang_pred, score (0 to 1) and rejected. Only `text` is looked at, whole.
 
     lang_pred is the language whose dictionary codes the text smallest, `und` with score 0 where the text is null or has no
-    letter. `rejected` tells a margin to the second language below `min_margin`: a text too short, mixed or foreign to
+    letter (a character of one of Unicode's letter categories), and everywhere if the model knows no language. `rejected` tells a margin to the second language below `min_margin`: a text too short, mixed or foreign to
     trust. The score is the odds that the difference in size gives.
     """
     docs = docs.drop("lang_pred", "score", "rejected")

@@ -47,9 +47,9 @@ def test_odd_texts_have_a_result(spark, case):
     assert language.identify(case[2].limit(0), model).collect() == []
 
 
-def test_nothing_to_learn_from_is_refused(case):
+def test_too_many_languages_are_refused(case):
     with pytest.raises(ValueError, match="languages"):
-        language.train(case[2].withColumn("lang", F.lit(None).cast("string")))
+        language.train(case[2], max_languages=1)
 
 
 def test_verdict_is_the_smallest_code(case):
@@ -95,3 +95,16 @@ def test_few_long_texts_and_copies_reach_the_size(spark):
 def test_texts_without_letters_are_refused(spark):
     with pytest.raises(ValueError, match="letters"):
         language.train(corpus.frame(spark, ["1 2 3", "--"], langs=["aa", "bb"]))
+
+
+def test_letters_are_letters_and_nothing_learnt_is_und(spark):
+    model = language.Model({"a": b"some letters here", "b": b"other words there"})
+    coders = model.coders()
+    for text in ("½", "① ②", "²", "Ⅷ", "12 %", "", None):
+        assert coders.verdict(text).language == "und"
+    for text in ("é", "ß", "字", "1a"):
+        assert coders.verdict(text).language in ("a", "b")
+    empty = corpus.frame(spark, [])
+    nothing = language.train(empty)
+    assert nothing.contents == {} and language.identify(empty, nothing).collect() == []
+    assert [r.lang_pred for r in language.identify(corpus.frame(spark, ["text", None]), nothing).collect()] == ["und", "und"]
