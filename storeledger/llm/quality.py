@@ -7,12 +7,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.llm.text import mixed, slices, utf8
 
 SAMPLE_DOCS = 4000
+SAMPLE_BYTES = 64 << 20  # of their texts
 THRESHOLD = 0.7
 STEPS = 250
 _LINE_FEED, _SPACE = 10, 32
@@ -231,18 +232,25 @@ def fit(lines: Lines, quality: np.ndarray, steps: int = STEPS) -> Model:
     return Model(scale, weights, links, max(float(curve[0]), 0.05) / 4, float(curve[1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Model:
-    """A model from at most `sample` documents (doc_id, text) with a label (doc_id, quality 0 or 1), drawn by a hash of the id.
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """A model from documents (doc_id, text) with a label (doc_id, quality 0 or 1), drawn by a hash of the id.
 
-    Texts stay on the executors; the driver gets the features of the sample's lines. Null labels are left out, of several
-    labels of an id the larger counts, and equal ids in `docs` are all used. There must be one labelled document at least.
+    At most `sample` ids are drawn, and of these, in order of the hash, as many as have `sample_bytes` of text together. Texts
+    stay on the executors; the driver gets the features of the sample's lines, so both bounds hold for it. Null labels are
+    left out, of several labels of an id the larger counts, and equal ids in `docs` are all used. Ids may be of any type. Where
+    there is no labelled document there is no model.
     """
     given = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     drawn = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    rows = texts.mapInArrow(_sample_lines, "doc_id long, quality int, weight array<double>, features binary").collect()
+    sizes = texts.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id")  # over the ids drawn, `sample` at most
+    fitting = sizes.withColumn("so_far", F.sum("bytes").over(so_far)).where(F.col("so_far") <= sample_bytes).select("doc_id")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    texts = texts.join(F.broadcast(fitting), "doc_id").select("doc_id", "text", "quality")
+    rows = texts.mapInArrow(_sample_lines, f"doc_id {id_type}, quality int, weight array<double>, features binary").collect()
     if not rows:
-        raise ValueError("no labelled document to learn from")
+        return None
     rows.sort(key=lambda r: (r.doc_id, len(r.weight), bytes(r.features)))
     weight = [np.array(r.weight) for r in rows]
     width = len(rows[0].features) // 8 // len(weight[0])
@@ -257,7 +265,7 @@ def _sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             lines = line_features(part.column("text"))
             pieces = list(zip(lines.first[:-1], lines.first[1:]))
             columns = [
-                part.column("doc_id").cast(pa.int64()),
+                part.column("doc_id"),
                 part.column("quality").cast(pa.int32()),
                 pa.array([lines.weight[a:b] for a, b in pieces], pa.list_(pa.float64())),
                 pa.array([lines.features[a:b].tobytes() for a, b in pieces], pa.binary()),
@@ -265,12 +273,15 @@ def _sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "weight", "features"])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """`docs` with `score`, the probability that a document is good. Only `text` is looked at, whole.
 
     A null text counts as empty; an empty text is one empty line and gets that line's score. A given `score` is replaced.
+    Without a model nothing is known, and every score is a half.
     """
     docs = docs.drop("score")
+    if model is None:
+        return docs.withColumn("score", F.lit(0.5))
     names = docs.columns
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,6 +300,11 @@ def held_out(doc_id: str = "doc_id", parts: int = 4, part: int = 2) -> F.Column:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` without the rows scored below `threshold`, by a model trained on the labels that are not held out."""
+    """`docs` without the rows scored below `threshold`, by a model trained on the labels that are not held out.
+
+    Where there is no such label, all rows stay.
+    """
     model = train(docs.where(~held_out()), labels)
+    if model is None:
+        return docs
     return score(docs, model).where(F.col("score") >= threshold).drop("score")

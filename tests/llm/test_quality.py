@@ -89,3 +89,25 @@ def test_labels_may_repeat_or_be_null(spark):
     assert np.allclose(a.weights, b.weights)
     kept = {r.doc_id for r in quality.keep_good(docs, labels).collect()}
     assert np.mean([(i in kept) == ok for i, ok in enumerate(good)]) > 0.95
+
+
+def test_nothing_to_learn_from(spark):
+    docs, labels = corpus.frame(spark, []), spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.train(docs, labels) is None
+    assert quality.keep_good(docs, labels).collect() == []
+    some = corpus.frame(spark, ["a text", None])
+    assert [r.score for r in quality.score(some, quality.train(some, labels)).collect()] == [0.5, 0.5]
+    assert quality.keep_good(some, labels).count() == 2
+
+
+def test_ids_of_any_type_and_a_bound_on_the_text_drawn(spark):
+    rng = corpus.random.Random(1)
+    texts = [corpus.prose(rng, 60) if i % 2 else "x1 ## 99 !! ..\n" * 20 for i in range(60)]
+    docs = corpus.frame(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    text_ids, text_labels = (df.withColumn("doc_id", F.concat(F.lit("id"), "doc_id")) for df in (docs, labels))
+    model = quality.train(text_ids, text_labels)
+    found = quality.score(text_ids, model).collect()
+    assert all((r.score > 0.5) == bool(int(r.doc_id[2:]) % 2) for r in found)
+    assert quality.train(docs, labels, sample_bytes=10) is None
+    assert quality.train(docs, labels, sample_bytes=2000) is not None
