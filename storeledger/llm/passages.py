@@ -10,17 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeledger.llm.store import filter_bits, key_filter, maybe_in, staged
-from storeledger.llm.text import lists, slices, windows, words
+from storeledger.llm.text import Words, lists, slices, windows, words
 
-SEED_WORDS = 8
-WINDOW = 12  # of this many seeds in a row the smallest is used: runs of 19 equal words always have one
+MASKS = ((0, 1, 2, 5, 6, 7), (0, 1, 3, 5, 6, 8), (0, 2, 3, 5, 7, 8))  # words of a seed; every fifth word may differ
+EVERY = 10  # of the seeds of each mask those whose hash this divides are used, whatever stands around them
+SEED = 6  # what a seed is worth in a chain
+CONTEXT = 24  # words on either side by which the holders of a seed are ordered
+ALIKE = 14  # of these 48 that must agree for two neighbours in this order to be aligned
 MIN_WORDS = 50
 SIMILARITY = 0.8
-GAP = 0.1  # cost of each word between seeds, on either side; a seed is worth its words
+GAP = 0.1  # cost of each word between seeds, on either side
 CHANGE = -2.0  # score of a differing word against 1 for an equal one, beyond the ends of a chain
 REACH = 64  # words looked at beyond either end of a chain
+BLOCK = 16  # words that are explained together
 
 SPANS = "doc long, other long, start int, end int, other_start int, other_end int, n_words int, n_same int, similarity double"
+NEAR = "doc long, hash long, pos int, after binary, before binary"
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -30,118 +35,176 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     n_same (words that agree), similarity (n_same / n_words, at least `similarity`). A passage may have words changed,
     added or missing. Words are runs of letters and digits, in lower case.
 
-    Every document that has a passage gets a row for it; not every pair of them does. Of the documents that hold a seed
-    the first as read stands for all, and the others are held against it, so rows grow with the documents and not with
-    the pairs. Equal documents are passages from end to end, if long enough. What repeats within one document only is not
-    reported. Null and empty texts have no words; null ids are kept as they are. `docs` must be a stored table, which is
-    read in the same order each time.
+    Documents that have a passage get a row for it; not every pair of them does. First the document of the smallest
+    fingerprint that holds a seed stands for all, and the others are held against it if two seeds agree. Then the seeds
+    outside the passages found are put in order of the words after them (and, once more, before them), and each is held
+    against its neighbour: those that agree longest stand together, however many documents hold pieces of a passage. So
+    pairs grow with the seeds and never with their square. Alignments go at most 64 words beyond the outermost seeds.
+
+    Equal documents are passages from end to end, if long enough. What repeats within one document only is not reported.
+    Null and empty texts have no words; null ids are kept as they are. Rows equal in id and text are one document, known
+    by a 64-bit fingerprint of both, so results do not depend on how files are cut.
     """
-    given = docs.select("doc_id", "text").withColumn("doc", F.monotonically_increasing_id())
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    seeds = staged(given.select("doc", "text").mapInArrow(_seeds, "doc long, hash array<long>, pos array<int>"))
+    given = docs.select("doc_id", "text").withColumn("doc", F.xxhash64("doc_id", "text"))
+    texts = given.select("doc", "text")
 
     # Seeds of two documents or more, and the first of these documents.
-    held = seeds.select("doc", F.explode(F.array_distinct("hash")).alias("hash"))
-    counts = held.groupBy("hash").agg(F.count("*").alias("docs"), F.min("doc").alias("first_doc"))
-    shared = staged(counts.where("docs > 1").select("hash", "first_doc"))
+    held = texts.mapInArrow(_Seeds(), "hash long, doc long")
+    ends = held.groupBy("hash").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    shared = staged(ends.where("first_doc <> last_doc").select("hash", "first_doc"))
     bits = filter_bits(shared.count())
-    bitmap = key_filter(shared, "hash", bits)
-    near = staged(seeds.mapInArrow(_Shared(bitmap, bits), "doc long, hash long, pos int"))
-    firsts = near.join(shared, (near["hash"] == shared["hash"]) & (near["doc"] == shared["first_doc"]))
-    firsts = firsts.groupBy(shared["hash"], shared["first_doc"]).agg(F.min("pos").alias("first_pos"))
-    matches = near.join(firsts, "hash").where("doc <> first_doc")
-    pairs = matches.groupBy("doc", F.col("first_doc").alias("other")).agg(
-        F.collect_list(F.struct(F.col("pos").alias("x"), F.col("first_pos").alias("y"))).alias("matches")
-    )
-    chains = staged(pairs.where(F.size("matches") > 1).mapInArrow(_chained, "doc long, other long, xs array<int>, ys array<int>"))
-
-    # The words around each chain, of both documents.
-    ends = chains.select(F.xxhash64("doc").alias("key")).union(chains.select(F.xxhash64("other").alias("key"))).distinct()
-    ends = staged(ends)
+    near = staged(texts.mapInArrow(_Near(key_filter(shared, "hash", bits), bits), NEAR))
+
+    at = near.select("doc", "hash", "pos")
+    firsts = at.join(shared, (at["hash"] == shared["hash"]) & (at["doc"] == shared["first_doc"]))
+    firsts = firsts.groupBy(shared["hash"], shared["first_doc"]).agg(F.min("pos").alias("y"))
+    matches = at.join(firsts, "hash").where("doc <> first_doc")
+    matches = matches.select("doc", F.col("first_doc").alias("other"), F.col("pos").alias("x"), "y")
+    spans = _spans(given, _chains(matches, 2), min_words, similarity)
+
+    # What these do not explain, among the nearest holders of each seed.
+    low, high = F.ceil(F.col("start") / BLOCK), F.floor(F.col("end") / BLOCK) - 1
+    blocks = spans.unionByName(_turned(spans)).where(low <= high)
+    explained = blocks.select("doc", F.explode(F.sequence(low, high)).alias("block")).distinct()
+    loose = near.withColumn("block", F.floor(F.col("pos") / BLOCK)).join(explained, ["doc", "block"], "left_anti")
+    loose = staged(loose.select("doc", "hash", "pos", "after", "before"))
+    neighbours = _neighbours(loose, "after", "before").union(_neighbours(loose, "before", "after"))
+    spans = staged(spans.union(_spans(given, _chains(neighbours, 1), min_words, similarity)))
+
+    wanted = staged(spans.select("doc").union(spans.select("other")).distinct())
+    names = given.select("doc", "doc_id").join(wanted, "doc", "left_semi").distinct()
+    found = spans.unionByName(_turned(spans)).join(names, "doc").join(names.toDF("other", "other_id"), "other")
+    return found.select("doc_id", "start", "end", "other_id", "other_start", "other_end", "n_words", "n_same", "similarity")
+
+
+def _turned(spans: DataFrame) -> DataFrame:
+    """The spans seen from the other document."""
+    sides = {"doc": "other", "start": "other_start", "end": "other_end"}
+    names = {**sides, **{b: a for a, b in sides.items()}}
+    return spans.select([F.col(c).alias(names.get(c, c)) for c in spans.columns])
+
+
+def _chains(matches: DataFrame, least: int) -> DataFrame:
+    """Chains of the matches (doc, other, x, y) of each pair that has at least `least` of them."""
+    pairs = matches.groupBy("doc", "other").agg(F.collect_set(F.struct("x", "y")).alias("matches"))
+    pairs = pairs.where(F.size("matches") >= least)
+    return staged(pairs.mapInArrow(_Chained(least), "doc long, other long, xs array<int>, ys array<int>"))
+
+
+def _neighbours(loose: DataFrame, first: str, second: str) -> DataFrame:
+    """Matches of each seed's occurrence with the one before it in order of the words around it, of another document.
+
+    Occurrences are sorted over all tasks, so one seed may fill many. The occurrence that begins a task's range has no
+    neighbour in this order.
+    """
+    order = ("hash", first, second, "doc", "pos")
+    return loose.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent, "doc long, other long, x int, y int")
+
+
+def _spans(given: DataFrame, chains: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """Passages around the chains, from the words of both documents."""
+    id_type = given.schema["doc_id"].dataType.simpleString()
+    ends = staged(chains.select("doc").union(chains.select("other")).distinct())
     bits = filter_bits(ends.count())
-    keyed = given.withColumn("key", F.xxhash64("doc"))
-    held_words = staged(keyed.mapInArrow(_Words(key_filter(ends, "key", bits), bits), f"doc_id {id_type}, doc long, words array<int>"))
-    mine = held_words.select("doc", F.col("words").alias("mine"))
-    theirs = held_words.select(F.col("doc").alias("other"), F.col("words").alias("theirs"))
+    # Fingerprints are spread evenly, as the filter asks.
+    found = given.mapInArrow(_Words(key_filter(ends, "doc", bits), bits), f"doc_id {id_type}, doc long, words array<int>")
+    held = staged(found.groupBy("doc").agg(F.first("words").alias("words")))
+    mine, theirs = held.toDF("doc", "mine"), held.toDF("other", "theirs")
     sides = _around(_around(chains.join(mine, "doc"), "xs", "mine").join(theirs, "other"), "ys", "theirs")
-    spans = staged(sides.mapInArrow(_Aligned(min_words, similarity), SPANS))
-    back = spans.select(
-        F.col("other").alias("doc"),
-        F.col("doc").alias("other"),
-        F.col("other_start").alias("start"),
-        F.col("other_end").alias("end"),
-        F.col("start").alias("other_start"),
-        F.col("end").alias("other_end"),
-        "n_words",
-        "n_same",
-        "similarity",
-    )
-    names = held_words.select("doc", "doc_id")
-    found = spans.unionByName(back).join(names, "doc").join(names.toDF("other", "other_id"), "other")
-    return found.select("doc_id", "start", "end", "other_id", "other_start", "other_end", "n_words", "n_same", "similarity")
+    return staged(sides.mapInArrow(_Aligned(min_words, similarity), SPANS))
 
 
 def _around(rows: DataFrame, at: str, text: str) -> DataFrame:
     """Replace a document's words by those within REACH of the chain, and the chain's places by places among them."""
     low = F.greatest(F.element_at(at, 1) - REACH, F.lit(0))
-    high = F.element_at(at, -1) + SEED_WORDS + REACH
+    high = F.element_at(at, -1) + 1 + REACH
     return rows.withColumn(f"{at}_low", low).withColumn(text, F.slice(text, F.col(f"{at}_low") + 1, high - F.col(f"{at}_low")))
 
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            found = words(part.column("text"))
-            hashes, at = windows(found, tuple(range(SEED_WORDS)))
-            chosen = smallest(hashes, found.doc[at], WINDOW)
-            hashes, at = hashes[chosen], at[chosen]
-            doc = found.doc[at]
-            place = (at - found.first_words()[doc]).astype(np.int32)
-            columns = [part.column("doc"), lists(hashes.view(np.int64), doc, part.num_rows), lists(place, doc, part.num_rows)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "hash", "pos"])
-
-
-def smallest(hashes: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
-    """Indices of the values that are smallest in some run of `window` values of one text; of equal neighbours, few."""
-    count = len(hashes) - window + 1
-    if count <= 0:
-        return np.zeros(0, np.int64)
-    least = hashes[:count].copy()
-    for step in range(1, window):
-        np.minimum(least, hashes[step : step + count], out=least)
-    inside = doc[window - 1 :] == doc[:count]
-    chosen = np.zeros(len(hashes), bool)
-    for step in range(window):
-        chosen[step : step + count] |= (hashes[step : step + count] == least) & inside
-    twin = np.zeros(len(hashes), bool)
-    twin[1:] = hashes[1:] == hashes[:-1]
-    return np.flatnonzero(chosen & (~twin | (np.arange(len(hashes)) % window == 0)))
-
-
-class _Shared:
-    """The seeds that may be in another document too, one row for each."""
+def seeds(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the seeds used and the indices of their first words."""
+    hashes, at = [], []
+    for salt, mask in enumerate(MASKS):
+        values, place = windows(found, mask, salt)
+        used = np.flatnonzero(values % np.uint64(EVERY) == 0)
+        hashes.append(values[used])
+        at.append(place[used])
+    return np.concatenate(hashes), np.concatenate(at)
+
+
+class _Seeds:
+    """Each seed of a document once."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found = words(part.column("text"))
+                hashes, at = seeds(found)
+                doc = part.column("doc").to_numpy()[found.doc[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(doc)], ["hash", "doc"])
+
+
+class _Near:
+    """The seeds that may be in another document too, one row for each, with a byte for each word around them."""
 
     def __init__(self, bitmap: np.ndarray, bits: int) -> None:
         self.bitmap, self.bits = bitmap, bits
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column("hash")
-            doc = np.repeat(batch.column("doc").to_numpy(), hashes.value_lengths().to_numpy())
-            flat, pos = hashes.flatten().to_numpy(), batch.column("pos").flatten().to_numpy()
-            kept = maybe_in(self.bitmap, flat.view(np.uint64), self.bits)
-            yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (doc, flat, pos)], ["doc", "hash", "pos"])
+            for part in slices(batch):
+                found = words(part.column("text"))
+                hashes, at = seeds(found)
+                kept = maybe_in(self.bitmap, hashes, self.bits)
+                hashes, at = hashes[kept], at[kept]
+                row = found.doc[at]
+                place = (at - found.first_words()[row]).astype(np.int32)
+                marks = np.maximum(found.hashes >> np.uint64(56), 1).astype(np.uint8)
+                columns = [pa.array(part.column("doc").to_numpy()[row]), pa.array(hashes.view(np.int64)), pa.array(place)]
+                for step in (1, -1):
+                    around = at[:, None] + step * np.arange(1, CONTEXT + 1)
+                    inside = np.clip(around, 0, max(len(marks) - 1, 0))
+                    held = np.where((inside == around) & (found.doc[inside] == row[:, None]), marks[inside], 0).astype(np.uint8)
+                    offsets = np.arange(len(at) + 1, dtype=np.int32) * CONTEXT
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held.tobytes())]))
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "hash", "pos", "after", "before"])
+
+
+def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    carried = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(name).to_numpy() for name in ("doc", "hash", "pos")]
+        for name in ("after", "before"):
+            joined = b"".join(batch.column(name).to_pylist())
+            rows.append(np.frombuffer(joined, np.uint8).reshape(-1, CONTEXT))
+        old = 0 if carried is None else len(carried[0])
+        if old:
+            rows = [np.concatenate(pair) for pair in zip(carried, rows)]
+        doc, hashes, pos, after, before = rows
+        begins = np.append(True, (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1]))
+        other = np.maximum.accumulate(np.where(begins, np.arange(len(doc)), 0)) - 1  # the row before those of this document
+        row = np.flatnonzero((np.arange(len(doc)) >= old) & (other >= 0) & (hashes[other] == hashes))
+        other, last = other[row], other[-1]
+        alike = sum(((side[row] == side[other]) & (side[row] > 0)).sum(1) for side in (after, before)) if len(row) else np.zeros(0)
+        row, other = row[alike >= ALIKE], other[alike >= ALIKE]
+        turned = doc[row] < doc[other]
+        row, other = np.where(turned, other, row), np.where(turned, row, other)
+        columns = [pa.array(doc[row]), pa.array(doc[other]), pa.array(pos[row]), pa.array(pos[other])]
+        carried = [side[[max(last, 0), len(doc) - 1]] for side in rows]
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "other", "x", "y"])
 
 
 class _Words:
-    """Hashes of the words of the documents whose key may be in the bitmap."""
+    """Hashes of the words of the documents whose fingerprint may be in the bitmap."""
 
     def __init__(self, bitmap: np.ndarray, bits: int) -> None:
         self.bitmap, self.bits = bitmap, bits
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = maybe_in(self.bitmap, batch.column("key").to_numpy().view(np.uint64), self.bits)
+            wanted = maybe_in(self.bitmap, batch.column("doc").to_numpy().view(np.uint64), self.bits)
             for part in slices(batch.filter(pa.array(wanted))):
                 found = words(part.column("text"))
                 short = (found.hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
@@ -149,8 +212,8 @@ class _Words:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "doc", "words"])
 
 
-def chains(x: np.ndarray, y: np.ndarray, seed: int = SEED_WORDS, gap: float = GAP) -> list[tuple[list[int], list[int]]]:
-    """Runs of matches that ascend in both texts, best first; every match is in one run at most.
+def chains(x: np.ndarray, y: np.ndarray, seed: int = SEED, gap: float = GAP, least: int = 2) -> list[tuple[list[int], list[int]]]:
+    """Runs of at least `least` matches that ascend in both texts, best first; every match is in one run at most.
 
     The best run that ends in match j is worth `seed`, plus the best of a match i before it in both texts, less `gap` for
     each word from i to j in either text. Matches are taken by x, and a Fenwick tree over y keeps the greatest value of
@@ -181,78 +244,91 @@ def chains(x: np.ndarray, y: np.ndarray, seed: int = SEED_WORDS, gap: float = GA
             used[at] = True
             run.append(at)
             at = before[at]
-        if len(run) > 1:
+        if len(run) >= least:
             out.append(([x[i] for i in reversed(run)], [y[i] for i in reversed(run)]))
     return out
 
 
-def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        row, found = [], []
-        matches = batch.column("matches")
-        bounds = matches.offsets.to_numpy() - matches.offsets[0].as_py()
-        xs, ys = (side.to_numpy() for side in matches.flatten().flatten())
-        for i in range(batch.num_rows):
-            for chain in chains(xs[bounds[i] : bounds[i + 1]], ys[bounds[i] : bounds[i + 1]]):
-                row.append(i)
-                found.append(chain)
-        kept = batch.select(["doc", "other"]).take(pa.array(row, pa.int64())).columns
-        made = [pa.array([chain[side] for chain in found], pa.list_(pa.int32())) for side in (0, 1)]
-        yield pa.RecordBatch.from_arrays([*kept, *made], ["doc", "other", "xs", "ys"])
-
-
-def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray, seed: int = SEED_WORDS) -> tuple[int, int, int, int, int, int]:
+class _Chained:
+    def __init__(self, least: int) -> None:
+        self.least = least
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, found = [], []
+            matches = batch.column("matches")
+            bounds = matches.offsets.to_numpy() - matches.offsets[0].as_py()
+            xs, ys = (side.to_numpy() for side in matches.flatten().flatten())
+            for i in range(batch.num_rows):
+                for chain in chains(xs[bounds[i] : bounds[i + 1]], ys[bounds[i] : bounds[i + 1]], least=self.least):
+                    row.append(i)
+                    found.append(chain)
+            kept = batch.select(["doc", "other"]).take(pa.array(row, pa.int64())).columns
+            made = [pa.array([chain[side] for chain in found], pa.list_(pa.int32())) for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*kept, *made], ["doc", "other", "xs", "ys"])
+
+
+def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray, similarity: float = SIMILARITY) -> tuple[int, int, int, int, int, int]:
     """Spans of `a` and `b` around a chain, the words of their alignment, and those that agree.
 
-    Between two seeds words are paired off where there are equally many, and otherwise aligned so that most agree. Beyond
-    the ends words are paired off as long as that gains.
+    The words at the chain's places are paired off, and those beyond its ends as long as that gains. Between two places,
+    of texts of unequal length there, the surplus words of the longer stand together where most others agree. Of this
+    alignment the longest stretch is taken in which `similarity` of the words agree; it begins and ends with such words.
     """
-    same = total = 0
     i, j = int(xs[0]), int(ys[0])
+    left = _onward(a[:i][::-1], b[:j][::-1])
+    i, j = i - left, j - left
+    at_a, at_b, same = [], [], []
+
+    def paired(count: int) -> None:
+        nonlocal i, j
+        at_a.append(np.arange(i, i + count))
+        at_b.append(np.arange(j, j + count))
+        same.append(a[i : i + count] == b[j : j + count])
+        i, j = i + count, j + count
+
     for x, y in zip(xs.tolist(), ys.tolist()):
-        if x < i or y < j:  # overlaps what is aligned: the rest of the seed counts, on its own diagonal
-            skip = max(i - x, j - y)
-            x, y = x + skip, y + skip
-            if skip >= seed:
-                continue
-            length = seed - skip
-        else:
-            length = seed
-        equal, wide = _between(a[i:x], b[j:y])
-        same, total = same + equal + length, total + wide + length
-        i, j = x + length, y + length
-    left = _onward(a[: int(xs[0])][::-1], b[: int(ys[0])][::-1])
-    right = _onward(a[i:], b[j:])
-    same, total = same + left[1] + right[1], total + left[0] + right[0]
-    return int(xs[0]) - left[0], i + right[0], int(ys[0]) - left[0], j + right[0], total, same
-
-
-def _between(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """Words that agree, and columns of the alignment."""
-    if not len(a) or not len(b):
-        return 0, max(len(a), len(b))
-    if len(a) == len(b):
-        paired = int((a == b).sum())
-        if paired * 2 >= len(a):
-            return paired, len(a)
-    best = np.zeros(len(b) + 1, np.int64)
-    for word in a:
-        # Longest common subsequence, a row at a time.
-        grown = np.maximum(best[1:], best[:-1] + (b == word))
-        best[1:] = np.maximum.accumulate(grown)
-    common = int(best[-1])
-    return common, max(len(a), len(b))
-
-
-def _onward(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """How many words from the start on pair off to the greatest gain, and how many of them agree."""
+        surplus = (y - j) - (x - i)
+        if not surplus:
+            paired(x - i)
+            continue
+        count = min(x - i, y - j)
+        more_a, more_b = max(-surplus, 0), max(surplus, 0)
+        before = np.append(0, np.cumsum(a[i : i + count] == b[j : j + count]))
+        after = np.append(0, np.cumsum(a[i + more_a : i + more_a + count] == b[j + more_b : j + more_b + count]))
+        paired(int(np.argmax(before + after[-1] - after)))
+        at_a.append(np.arange(i, i + abs(surplus)) if more_a else np.full(more_b, i))
+        at_b.append(np.arange(j, j + abs(surplus)) if more_b else np.full(more_a, j))
+        same.append(np.zeros(abs(surplus), bool))
+        i, j = i + more_a, j + more_b
+        paired(x - i)
+    paired(_onward(a[i:], b[j:]))
+    at_a, at_b, same = np.concatenate(at_a), np.concatenate(at_b), np.concatenate(same)
+    low, high = longest(same, similarity)
+    return int(at_a[low]), int(at_a[high]) + 1, int(at_b[low]), int(at_b[high]) + 1, high - low + 1, int(same[low : high + 1].sum())
+
+
+def longest(same: np.ndarray, similarity: float) -> tuple[int, int]:
+    """First and last place of the longest stretch with a mean of `similarity` or more that begins and ends true."""
+    if not same.any():
+        return 0, 0
+    total = np.append(0.0, np.cumsum(same - similarity))
+    later = np.maximum.accumulate(total[::-1])[::-1]
+    # For each start the last end whose total is not below the start's.
+    end = len(total) - np.searchsorted(later[::-1], total - 1e-9, "left") - 1
+    start = int(np.argmax(end - np.arange(len(total))))
+    hit = start + np.flatnonzero(same[start : end[start]])
+    return int(hit[0]), int(hit[-1])
+
+
+def _onward(a: np.ndarray, b: np.ndarray) -> int:
+    """How many words from the start on pair off to the greatest gain."""
     count = min(len(a), len(b))
     if not count:
-        return 0, 0
-    equal = a[:count] == b[:count]
-    gain = np.cumsum(np.where(equal, 1.0, CHANGE))
+        return 0
+    gain = np.cumsum(np.where(a[:count] == b[:count], 1.0, CHANGE))
     end = int(np.argmax(gain))
-    return (end + 1, int(equal[: end + 1].sum())) if gain[end] > 0 else (0, 0)
+    return end + 1 if gain[end] > 0 else 0
 
 
 class _Aligned:
@@ -266,8 +342,8 @@ class _Aligned:
             for doc, other, mine, theirs, xs, ys, x_low, y_low in zip(*(batch.column(n) for n in names)):
                 x_low, y_low = x_low.as_py(), y_low.as_py()
                 at = [side.values.to_numpy() for side in (mine, theirs, xs, ys)]
-                start, end, other_start, other_end, total, same = align(at[0], at[1], at[2] - x_low, at[3] - y_low)
-                if min(end - start, other_end - other_start) >= self.min_words and same >= self.similarity * total:
+                start, end, other_start, other_end, total, same = align(at[0], at[1], at[2] - x_low, at[3] - y_low, self.similarity)
+                if min(end - start, other_end - other_start) >= self.min_words:
                     places = (start + x_low, end + x_low, other_start + y_low, other_end + y_low)
                     out.append((doc.as_py(), other.as_py(), *places, total, same, same / total))
             kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.float64())

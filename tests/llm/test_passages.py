@@ -30,6 +30,84 @@ def case():
     return texts, planted
 
 
+def stretch(same, similarity=0.8):
+    """Words of the longest stretch that begins and ends true and has `similarity` true, by trying all."""
+    true = np.flatnonzero(same)
+    if len(true) < 40:
+        return 0
+    count = np.arange(1, len(true) + 1)[None, :] - np.arange(len(true))[:, None]
+    length = true[None, :] - true[:, None] + 1
+    return int(np.where((count > 0) & (count >= similarity * length - 1e-9), length, 0).max())
+
+
+def brute_documents(texts, min_words=50):
+    """Documents that have a passage on one diagonal with some other, over all pairs."""
+    ids = {}
+    held = [np.array([ids.setdefault(w, len(ids)) for w in corpus.words(t)], np.int64) for t in texts]
+    out = set()
+    for d, mine in enumerate(held):
+        for other, theirs in enumerate(held[:d]):
+            for shift in range(min_words - len(theirs), len(mine) - min_words + 1):
+                a, b = mine[max(shift, 0) :], theirs[max(-shift, 0) :]
+                count = min(len(a), len(b))
+                if {d, other} <= out or count < min_words:
+                    continue
+                if stretch(a[:count] == b[:count]) >= min_words:
+                    out |= {d, other}
+    return out
+
+
+def changed(rng, text, places):
+    parts = text.split(" ")
+    for at in places:
+        parts[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(parts)
+
+
+@pytest.mark.parametrize(("similarity", "spread"), [(s, k) for s in (0.8, 0.85, 0.9) for k in ("even", "random")])
+def test_recall_of_changed_passages(spark, tmp_path, similarity, spread):
+    """100 pairs of 100-word passages with substituted words, each in texts of its own."""
+    rng = random.Random(f"{similarity}{spread}")
+    texts = []
+    for _ in range(100):
+        passage = " ".join(f"{corpus.word(rng)}{rng.randrange(99)}" for _ in range(100))
+        wrong = round(100 * (1 - similarity))
+        places = [int((i + 0.5) * 100 / wrong) for i in range(wrong)] if spread == "even" else rng.sample(range(1, 99), wrong)
+        for text in (passage, changed(rng, passage, places)):
+            texts.append(f"{corpus.prose(rng, rng.randint(0, 60))} {text} {corpus.prose(rng, rng.randint(0, 60))}")
+    docs = corpus.stored(spark, corpus.frame(spark, texts), tmp_path)
+    rows = passages.repeated_passages(docs).collect()
+    pairs = {r.doc_id // 2 for r in rows if r.doc_id // 2 == r.other_id // 2}
+    assert len(pairs) >= 90, len(pairs)
+    assert all(r.doc_id // 2 == r.other_id // 2 for r in rows)
+
+
+def test_first_holders_of_pieces_hide_no_passage(spark, tmp_path):
+    """Whatever the order, documents that hold pieces of a passage do not stand between those that hold all of it."""
+    rng = random.Random(24)
+    texts, whole = [], set()
+    for _ in range(12):
+        passage = corpus.prose(rng, 60).split()
+        pieces = [passage[:35], passage[25:]] + [passage[at : at + 30] for at in range(0, 31, 6)]
+        for part in [*pieces, passage, passage]:
+            if part is passage:
+                whole.add(len(texts))
+            texts.append(" ".join([corpus.prose(rng, 20), *part, corpus.prose(rng, 20)]))
+    docs = corpus.stored(spark, corpus.frame(spark, texts), tmp_path)
+    assert {r.doc_id for r in passages.repeated_passages(docs).collect()} == whole == brute_documents(texts)
+
+
+def test_file_splits_do_not_matter(spark, tmp_path, case):
+    docs = corpus.stored(spark, corpus.frame(spark, case[0], parts=2), tmp_path / "a")
+    wanted = sorted(map(str, passages.repeated_passages(docs).collect()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert sorted(map(str, passages.repeated_passages(docs).collect())) == wanted
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_planted_passages_are_found_and_nothing_else(spark, tmp_path, case):
     texts, planted = case
     docs = corpus.stored(spark, corpus.frame(spark, texts, parts=4), tmp_path)
@@ -43,6 +121,7 @@ def test_planted_passages_are_found_and_nothing_else(spark, tmp_path, case):
         assert min(len(mine), len(theirs)) >= 50 and r.doc_id != r.other_id
         assert r.n_same >= 0.8 * r.n_words and r.n_same <= len(mine)
         assert corpus.jaccard(set(mine), set(theirs)) > 0.6
+    assert wanted == brute_documents(texts)
     for held in planted.values():
         for d in held if len(held) > 1 else []:
             assert max(r.end - r.start for r in rows if r.doc_id == d) >= 50
@@ -78,16 +157,6 @@ def test_best_chain_is_the_best_of_all(seed):
     assert best <= 8 or abs(max(worth) - best) < 1e-9
 
 
-def test_smallest_of_each_window():
-    rng = np.random.default_rng(21)
-    hashes, doc = rng.integers(0, 1 << 62, 200).astype(np.uint64), np.repeat([0, 1, 2], [90, 5, 105])
-    wanted = set()
-    for i in range(200 - 11):
-        if doc[i] == doc[i + 11]:
-            wanted.add(i + int(np.argmin(hashes[i : i + 12])))
-    assert set(passages.smallest(hashes, doc, 12).tolist()) == wanted
-
-
 def test_alignment_spans_changes_and_gaps():
     rng = random.Random(22)
     a = np.array([rng.randrange(10**6) for _ in range(100)])
@@ -96,3 +165,11 @@ def test_alignment_spans_changes_and_gaps():
     got = passages.align(a, b, np.array([12, 20, 40, 70]), np.array([12, 20, 42, 69]))
     assert got[:4] == (0, 100, 0, 99)
     assert got[5] == 96
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_longest_stretch_is_the_longest(seed):
+    same = np.random.default_rng(seed).random(120) < 0.7 + seed / 100
+    low, high = passages.longest(same, 0.8)
+    assert same[low] and same[high] and same[low : high + 1].mean() >= 0.8 - 1e-9
+    assert high - low + 1 == stretch(same)
