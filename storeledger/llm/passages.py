@@ -22,7 +22,7 @@ SIMILARITY = 0.8
 GAP = 0.1  # cost of each word between seeds, on either side
 CHANGE = -2.0  # score of a differing word against 1 for an equal one, beyond the ends of a chain
 REACH = 64  # words looked at beyond either end of a chain
-BLOCK = 16  # words that are explained together
+BLOCK = 16  # words that a passage explains together, if it has one of them
 
 SPANS = "doc long, other long, start int, end int, other_start int, other_end int, n_words int, n_same int, similarity double"
 NEAR = "doc long, hash long, pos int, after binary, before binary"
@@ -63,9 +63,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     spans = _spans(given, _chains(matches, 2), min_words, similarity)
 
     # What these do not explain, among the nearest holders of each seed.
-    low, high = F.ceil(F.col("start") / BLOCK), F.floor(F.col("end") / BLOCK) - 1
-    blocks = spans.unionByName(_turned(spans)).where(low <= high)
-    explained = blocks.select("doc", F.explode(F.sequence(low, high)).alias("block")).distinct()
+    low, high = F.floor(F.col("start") / BLOCK), F.floor((F.col("end") - 1) / BLOCK)
+    touched = spans.unionByName(_turned(spans)).select("doc", F.explode(F.sequence(low, high)).alias("block"))
+    explained = touched.distinct()
     loose = near.withColumn("block", F.floor(F.col("pos") / BLOCK)).join(explained, ["doc", "block"], "left_anti")
     loose = staged(loose.select("doc", "hash", "pos", "after", "before"))
     neighbours = _neighbours(loose, "after", "before").union(_neighbours(loose, "before", "after"))
