@@ -14,6 +14,7 @@ from storeledger.llm.text import Words, lists, slices, windows, words
 
 MASKS = ((0, 1, 2, 5, 6, 7), (0, 1, 3, 5, 6, 8), (0, 2, 3, 5, 7, 8))  # words of a seed; every fifth word may differ
 EVERY = 10  # of the seeds of each mask those whose hash this divides are used, whatever stands around them
+VARIED = 4  # words of a seed's stretch that must differ from the word before
 SEED = 6  # what a seed is worth in a chain
 CONTEXT = 24  # words on either side by which the holders of a seed are ordered
 ALIKE = 14  # of these 48 that must agree for two neighbours in this order to be aligned
@@ -33,7 +34,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
 
     doc_id, start and end (words, end not included), other_id, other_start, other_end, n_words (words of the alignment),
     n_same (words that agree), similarity (n_same / n_words, at least `similarity`). A passage may have words changed,
-    added or missing. Words are runs of letters and digits, in lower case.
+    added or missing. Words are runs of letters and digits, in lower case; one that equals the word before it does not count
+    towards `min_words`, so that documents which say one word over and over share no passage by that.
 
     Documents that have a passage get a row for it; not every pair of them does. First the document of the smallest
     fingerprint that holds a seed stands for all, and the others are held against it if two seeds agree. Then the seeds
@@ -122,11 +124,13 @@ def _around(rows: DataFrame, at: str, text: str) -> DataFrame:
 
 
 def seeds(found: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the seeds used and the indices of their first words."""
+    """Hashes of the seeds used and the indices of their first words. Runs of one word over and over have none."""
     hashes, at = [], []
+    fresh = np.append(0, np.cumsum(found.hashes[1:] != found.hashes[:-1]))
     for salt, mask in enumerate(MASKS):
         values, place = windows(found, mask, salt)
-        used = np.flatnonzero(values % np.uint64(EVERY) == 0)
+        varied = fresh[place + mask[-1]] - fresh[place] >= VARIED
+        used = np.flatnonzero((values % np.uint64(EVERY) == 0) & varied)
         hashes.append(values[used])
         at.append(place[used])
     return np.concatenate(hashes), np.concatenate(at)
@@ -331,6 +335,11 @@ def _onward(a: np.ndarray, b: np.ndarray) -> int:
     return end + 1 if gain[end] > 0 else 0
 
 
+def varied(words: np.ndarray) -> int:
+    """Words that are not equal to the one before."""
+    return len(words) - int((words[1:] == words[:-1]).sum())
+
+
 class _Aligned:
     def __init__(self, min_words: int, similarity: float) -> None:
         self.min_words, self.similarity = min_words, similarity
@@ -343,7 +352,7 @@ class _Aligned:
                 x_low, y_low = x_low.as_py(), y_low.as_py()
                 at = [side.values.to_numpy() for side in (mine, theirs, xs, ys)]
                 start, end, other_start, other_end, total, same = align(at[0], at[1], at[2] - x_low, at[3] - y_low, self.similarity)
-                if min(end - start, other_end - other_start) >= self.min_words:
+                if min(varied(at[0][start:end]), varied(at[1][other_start:other_end])) >= self.min_words:
                     places = (start + x_low, end + x_low, other_start + y_low, other_end + y_low)
                     out.append((doc.as_py(), other.as_py(), *places, total, same, same / total))
             kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.float64())

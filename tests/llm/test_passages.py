@@ -97,6 +97,15 @@ def test_first_holders_of_pieces_hide_no_passage(spark, tmp_path):
     assert {r.doc_id for r in passages.repeated_passages(docs).collect()} == whole == brute_documents(texts)
 
 
+def test_one_word_over_and_over_is_no_passage(spark, tmp_path):
+    rng = random.Random(25)
+    texts = [" ".join([corpus.prose(rng, 30), *["de"] * n, corpus.prose(rng, 30)]) for n in (60, 90, 400)]
+    shared = " ".join(word for word in corpus.prose(rng, 60).split() for _ in range(2))
+    texts += [f"{corpus.prose(rng, 20)} {shared}", f"{shared} {corpus.prose(rng, 20)}"]
+    docs = corpus.stored(spark, corpus.frame(spark, texts), tmp_path)
+    assert {r.doc_id for r in passages.repeated_passages(docs).collect()} == {3, 4}
+
+
 def test_file_splits_do_not_matter(spark, tmp_path, case):
     docs = corpus.stored(spark, corpus.frame(spark, case[0], parts=2), tmp_path / "a")
     wanted = sorted(map(str, passages.repeated_passages(docs).collect()))
