@@ -21,7 +21,7 @@ ALIKE = 14  # of these 48 that must agree for two neighbours in this order to be
 MIN_WORDS = 50
 SIMILARITY = 0.8
 GAP = 0.1  # cost of each word between seeds, on either side
-CHANGE = -2.0  # score of a differing word against 1 for an equal one, beyond the ends of a chain
+CHANGE = -1.0  # score of a differing word against 1 for an equal one, beyond the ends of a chain
 REACH = 64  # words looked at beyond either end of a chain
 BLOCK = 16  # words that a passage explains together, if it has one of them
 

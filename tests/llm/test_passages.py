@@ -64,15 +64,17 @@ def changed(rng, text, places):
     return " ".join(parts)
 
 
-@pytest.mark.parametrize(("similarity", "spread"), [(s, k) for s in (0.8, 0.85, 0.9) for k in ("even", "random")])
-def test_recall_of_changed_passages(spark, tmp_path, similarity, spread):
-    """100 pairs of 100-word passages with substituted words, each in texts of its own."""
+@pytest.mark.parametrize(
+    ("similarity", "spread", "size"), [*((s, k, 100) for s in (0.8, 0.85, 0.9) for k in ("even", "random")), (0.8, "random", 60)]
+)
+def test_recall_of_changed_passages(spark, tmp_path, similarity, spread, size):
+    """100 pairs of passages with substituted words, each in texts of its own."""
     rng = random.Random(f"{similarity}{spread}")
     texts = []
     for _ in range(100):
-        passage = " ".join(f"{corpus.word(rng)}{rng.randrange(99)}" for _ in range(100))
-        wrong = round(100 * (1 - similarity))
-        places = [int((i + 0.5) * 100 / wrong) for i in range(wrong)] if spread == "even" else rng.sample(range(1, 99), wrong)
+        passage = " ".join(f"{corpus.word(rng)}{rng.randrange(99)}" for _ in range(size))
+        wrong = round(size * (1 - similarity))
+        places = [int((i + 0.5) * size / wrong) for i in range(wrong)] if spread == "even" else rng.sample(range(1, size - 1), wrong)
         for text in (passage, changed(rng, passage, places)):
             texts.append(f"{corpus.prose(rng, rng.randint(0, 60))} {text} {corpus.prose(rng, rng.randint(0, 60))}")
     docs = corpus.stored(spark, corpus.frame(spark, texts), tmp_path)
