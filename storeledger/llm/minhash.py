@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from storeledger.llm.graph import components
@@ -307,8 +307,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, similarity: floa
     larger one every text is held against four others: the text that shares most keys with all, which in a group of copies
     is the original, the first, the last and one drawn. So a bucket gives candidates in proportion to its size. Then,
     as long as a round finds links, texts of different classes in a bucket are held against each other in a new random
-    choice. Links are looked for between all texts; a link is missed only if its two ends meet no common bucket (below 1
-    in 10,000 at the threshold) or, in a bucket of three or more, are never chosen together nor connected otherwise.
+    choice. These only bring together most of what belongs together. All texts whose buckets still hold several classes
+    are then joined exactly: every pair of different classes that may be similar enough (`_alike_pairs`) is verified. So
+    classes miss a link only if its two ends meet no common bucket (below 1 in 10,000 at the threshold). Within a class
+    `links` holds the pairs that were looked at, which connect it, and not every pair.
     """
     idf = document_frequencies(docs, size)
     given = docs.select("doc_id", "text").withColumns(
@@ -338,6 +340,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, similarity: floa
             break
         tested, links = tested.union(pairs), links.union(found)
         labels = components(links)
+    left = staged(buckets.divided(labels).join(texts.select("node", "text_a", "text_b"), "node"))
+    if left.head(1):
+        pairs = staged(_alike_pairs(given, left, size, idf, similarity).join(tested, ["a", "b"], "left_anti"))
+        found = staged(_links(given, texts, pairs, size, idf, similarity))
+        if found.head(1):
+            links = links.union(found)
+            labels = components(links)
 
     named = texts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = staged(named.select("text_a", "text_b", "node", "label", "doc_id", "copies"))
@@ -396,6 +405,72 @@ class _Buckets:
         heads = heads.where("classes > 1").withColumn("head", F.expr(f"head ^ {turned}"))
         return _pairs(each.join(heads, "band").select(F.col("pick").alias("node"), F.col("head").alias("other")))
 
+    def divided(self, labels: DataFrame) -> DataFrame:
+        """node, label of the texts in buckets that hold more than one class."""
+        named = self.members.select("band", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return named.join(several.select("band"), "band", "left_semi").select("node", "label").distinct()
+
+
+def _alike_pairs(given: DataFrame, left: DataFrame, size: int, idf: Idf, similarity: float) -> DataFrame:
+    """All pairs of texts of different classes in `left` (node, label, text_a, text_b) that may be similar enough.
+
+    This is an exact join by prefixes. The shingles of each text are put in one order for all, rare ones first. Two texts
+    whose similarity reaches s share at least s of the weight (or, by plain similarity, of the number) of either, so they
+    have a shingle in common among the first ones of each, up to which no more than 1 - s stands before. What many texts
+    share comes last and joins nothing, and a shingle is looked at only where different classes have it, so that a group
+    of copies meets the texts outside it and not itself.
+    """
+    bits = filter_bits(left.count())
+    made = given.select("text_a", "text_b", "text").mapInArrow(
+        _Tokens(size, idf, key_filter(left, "text_a", bits), bits), "text_a long, text_b long, hashes array<long>, weights array<double>"
+    )
+    one = made.groupBy("text_a", "text_b").agg(F.first("hashes").alias("hashes"), F.first("weights").alias("weights"))
+    held = staged(one.join(left, ["text_a", "text_b"]).select("node", "label", "hashes", "weights"))
+    whole = F.aggregate("weights", F.lit(0.0), lambda total, weight: total + weight)
+    zipped = F.explode(F.arrays_zip(F.col("hashes").alias("hash"), F.col("weights").alias("weight"))).alias("token")
+    tokens = held.select("node", "label", whole.alias("whole"), F.size("hashes").alias("count"), zipped)
+    tokens = tokens.select("node", "label", "whole", "count", "token.hash", "token.weight")
+    seen = staged(
+        tokens.groupBy("hash")
+        .agg(F.count("*").alias("texts"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("texts > 1")
+        .select("hash", "texts", (F.col("low") != F.col("high")).alias("several"))
+    )
+    order = Window.partitionBy("node").orderBy(F.coalesce("texts", F.lit(1)), "hash")
+    placed = tokens.join(seen, "hash", "left").withColumns(
+        {
+            "upto": F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "place": F.row_number().over(order),
+        }
+    )
+    rest = 1 - similarity + 1e-6  # for rounding
+    first = (F.col("upto") - F.col("weight") <= rest * F.col("whole")) | (F.col("place") - 1 <= rest * F.col("count"))
+    prefix = staged(placed.where(first & F.col("several")).select("hash", "label", "node", "whole", "count"))
+    classes = prefix.select("hash", "label").distinct()
+    several = classes.groupBy("hash").agg(F.count("*").alias("classes")).where("classes > 1").select("hash")
+    classes = staged(classes.join(several, "hash", "left_semi"))
+    met = classes.join(classes.toDF("hash", "other_label"), "hash").where("label < other_label")
+    mine = prefix.join(met, ["hash", "label"]).drop("label")
+    theirs = prefix.toDF("hash", "other_label", "other", "other_whole", "other_count")
+    near = " or ".join(f"least({x}, other_{x}) >= {similarity - 1e-6} * greatest({x}, other_{x})" for x in ("whole", "count"))
+    return _pairs(mine.join(theirs, ["hash", "other_label"]).where(near).select("node", "other"))
+
+
+class _Tokens:
+    """Shingles and weights of the texts whose fingerprint may be in the bitmap, as lists."""
+
+    def __init__(self, size: int, idf: Idf, bitmap: np.ndarray, bits: int) -> None:
+        self.size, self.idf, self.bitmap, self.bits = size, idf, bitmap, bits
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = maybe_in(self.bitmap, batch.column("text_a").to_numpy(zero_copy_only=False).view(np.uint64), self.bits)
+            for part in slices(batch.filter(pa.array(wanted))):
+                bag = Bag.of(part.column("text"), self.size)
+                made = [lists(x, bag.doc, part.num_rows) for x in (bag.hashes.view(np.int64), bag.weights(self.idf))]
+                yield pa.RecordBatch.from_arrays([*part.select(["text_a", "text_b"]).columns, *made], ["text_a", "text_b", "hashes", "weights"])
+
 
 def _pairs(pairs: DataFrame) -> DataFrame:
     return pairs.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()

@@ -56,6 +56,20 @@ def test_classes_match_all_pairs(spark, tmp_path, family):
         assert abs(plain - link.plain) < 1e-9 and max(link.plain, link.weighted) >= 0.8
 
 
+def test_partners_in_full_buckets_are_found(spark, tmp_path):
+    """Most of each text is one passage, so that all buckets are large; each text has one partner a little nearer than the rest."""
+    rng = random.Random(31)
+    passage, texts = corpus.prose(rng, 204), []
+    for _ in range(100):
+        shared = corpus.prose(rng, 7)
+        texts += [f"{passage} {shared} {corpus.prose(rng, 21)}" for _ in range(2)]
+    pairs, sets = linked(texts)
+    assert len(pairs) == 100 and all(i == j + 1 for i, j in pairs)
+    docs = corpus.stored(spark, corpus.frame(spark, texts, parts=4), tmp_path)
+    rows = minhash.near_duplicates(docs).documents.collect()
+    assert classes(rows) == {frozenset(pair) for pair in pairs}
+
+
 def test_one_document_of_each_class_stays(spark, tmp_path, family):
     docs = corpus.stored(spark, corpus.frame(spark, family, [*range(len(family) - 3), 3, None, None]).withColumnRenamed("source", "_place"), tmp_path)
     rows = minhash.near_duplicates(docs).documents.collect()
