@@ -423,14 +423,12 @@ def _alike_pairs(given: DataFrame, left: DataFrame, size: int, idf: Idf, similar
     """
     bits = filter_bits(left.count())
     made = given.select("text_a", "text_b", "text").mapInArrow(
-        _Tokens(size, idf, key_filter(left, "text_a", bits), bits), "text_a long, text_b long, hashes array<long>, weights array<double>"
+        _Tokens(size, idf, key_filter(left, "text_a", bits), bits), "text_a long, text_b long, whole double, count int, hashes array<long>, weights array<double>"
     )
-    one = made.groupBy("text_a", "text_b").agg(F.first("hashes").alias("hashes"), F.first("weights").alias("weights"))
-    held = staged(one.join(left, ["text_a", "text_b"]).select("node", "label", "hashes", "weights"))
-    whole = F.aggregate("weights", F.lit(0.0), lambda total, weight: total + weight)
-    zipped = F.explode(F.arrays_zip(F.col("hashes").alias("hash"), F.col("weights").alias("weight"))).alias("token")
-    tokens = held.select("node", "label", whole.alias("whole"), F.size("hashes").alias("count"), zipped)
-    tokens = tokens.select("node", "label", "whole", "count", "token.hash", "token.weight")
+    values = ("whole", "count", "hashes", "weights")
+    one = made.groupBy("text_a", "text_b").agg(*(F.first(c).alias(c) for c in values))
+    held = staged(one.join(left, ["text_a", "text_b"]).select("node", "label", *values))
+    tokens = held.select("node", "label", "whole", "count", F.inline(F.arrays_zip("hashes", "weights")).alias("hash", "weight"))
     seen = staged(
         tokens.groupBy("hash")
         .agg(F.count("*").alias("texts"), F.min("label").alias("low"), F.max("label").alias("high"))
@@ -468,8 +466,12 @@ class _Tokens:
             wanted = maybe_in(self.bitmap, batch.column("text_a").to_numpy(zero_copy_only=False).view(np.uint64), self.bits)
             for part in slices(batch.filter(pa.array(wanted))):
                 bag = Bag.of(part.column("text"), self.size)
-                made = [lists(x, bag.doc, part.num_rows) for x in (bag.hashes.view(np.int64), bag.weights(self.idf))]
-                yield pa.RecordBatch.from_arrays([*part.select(["text_a", "text_b"]).columns, *made], ["text_a", "text_b", "hashes", "weights"])
+                weights = bag.weights(self.idf)
+                whole = np.bincount(bag.doc, weights, part.num_rows)
+                count = np.bincount(bag.doc, minlength=part.num_rows).astype(np.int32)
+                made = [lists(x, bag.doc, part.num_rows) for x in (bag.hashes.view(np.int64), weights)]
+                columns = [*part.select(["text_a", "text_b"]).columns, pa.array(whole), pa.array(count), *made]
+                yield pa.RecordBatch.from_arrays(columns, ["text_a", "text_b", "whole", "count", "hashes", "weights"])
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:
