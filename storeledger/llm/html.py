@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, reduce
 from html import unescape
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +21,7 @@ from storeledger.llm.text import slices
 MIN_PAGES = 4  # distinct ones, for a wrapper
 FEW_PAGES = 8  # below that a text is template only if all of them have it
 MAX_DEPTH = 200  # elements nested deeper become siblings, their texts stay
-FEW_PAIRS = 10_000  # of siblings, which are all tried
-NEAR_SIBLINGS = 100  # siblings whose relative places lie further apart are not matched
+KNOWN_SHAPES = 100_000  # pairs of shapes remembered from one page to the next
 CONSTANT_SHARE = 0.5  # of the distinct pages of a layout that must have a text in the same place for it to be template
 MINOR_SHARE = 0.2  # of the varying text beside it, below which a container is no part of the content
 NAMED_WEIGHT = 0.125  # of varying text in an element that its name calls furniture, when content is looked for
@@ -72,12 +73,13 @@ _FURNITURE_WORDS = frozenset(
 class Node:
     """An element with its children, or a text (tag "#text")."""
 
-    __slots__ = ("children", "ink", "part", "print", "tag", "text", "up", "words")
+    __slots__ = ("children", "ink", "part", "print", "shape", "tag", "text", "up", "words")
 
     def __init__(self, tag: str, text: str = "", words: frozenset[str] = frozenset()) -> None:
         self.tag, self.text, self.words, self.children = tag, text, words, []
         self.ink = 0  # characters of text below, once measured
         self.print = 0  # a fingerprint of the whole subtree, once made
+        self.shape = 0  # a fingerprint of the tags below, once made
         self.part = ""  # in a wrapper: "content" or "beside" it
         self.up: Node | None = None  # the element around, in a parsed page
 
@@ -229,34 +231,18 @@ def mark(path: str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(held, digest_size=8).digest(), "little", signed=True)
 
 
-def matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+def matching(a: Node, b: Node, weights: _Weights | None = None) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: the largest top-down matching that keeps the order of siblings, and its pairs of texts.
 
-    Nodes match only if their tags are equal and their parents match. Siblings that are equal from either end on match
-    each other; of those between, very long rows only near the same place, so that memory and time follow their length.
+    Nodes match only if their tags are equal and their parents match. Siblings that are equal from either end on, texts
+    included, match each other, which loses nothing. Those between are matched whole, in rows of any length: how much of two
+    nodes matches depends on their shapes alone, so it is found once for each pair of shapes, and the table of all pairs of
+    siblings is filled line by line; of its lines some are kept, from which the others are made again. `weights` keeps what
+    was found from one page to the next.
     """
-    if a.tag != b.tag:
-        return 0, []
-    if a.tag == "#text":
-        return 1, [(a, b)]
-    rows, columns = a.children, b.children
-    if not rows or not columns:
-        return 1, []
-    if len(rows) * len(columns) <= FEW_PAIRS:
-        weight, pairs = _few_matching(rows, columns)
-        return weight + 1, pairs
-    weight, pairs, low, high = 1, [], 0, 0
-    shorter = min(len(rows), len(columns))
-    while low < shorter and _fingerprint(rows[low]) == _fingerprint(columns[low]):
-        low += 1
-    while high < shorter - low and _fingerprint(rows[-1 - high]) == _fingerprint(columns[-1 - high]):
-        high += 1
-    ends = [*zip(rows[:low], columns[:low]), *zip(rows[len(rows) - high :], columns[len(columns) - high :])]
-    inner = _row_matching(rows[low : len(rows) - high], columns[low : len(columns) - high])
-    for found in (*(_alike(x, y) for x, y in ends), inner):
-        weight += found[0]
-        pairs += found[1]
-    return weight, pairs
+    weights = weights or _Weights()
+    weights.forget()
+    return weights(a, b), weights.texts(a, b)
 
 
 def _fingerprint(node: Node) -> int:
@@ -266,84 +252,128 @@ def _fingerprint(node: Node) -> int:
     return node.print
 
 
-def _alike(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """The matching of equal subtrees."""
-    weight, pairs, todo = 0, [], [(a, b)]
-    while todo:
-        x, y = todo.pop()
-        weight += 1
-        if x.tag == "#text":
-            pairs.append((x, y))
-        todo += zip(x.children, y.children)
-    return weight, pairs
-
-
-def _few_matching(rows: list[Node], columns: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
-    """The best matching of two rows of siblings, with every pair of them tried and kept."""
-    best, inner = [[0] * (len(columns) + 1)], []
-    for row in rows:
-        above, line, held = best[-1], [0], []
-        for j, column in enumerate(columns):
-            pair = matching(row, column) if row.tag == column.tag else (0, [])
-            held.append(pair)
-            line.append(max(above[j + 1], line[j], above[j] + pair[0]))
-        best.append(line)
-        inner.append(held)
-    pairs: list[tuple[Node, Node]] = []
-    i, j = len(rows), len(columns)
-    while i and j:
-        weight, texts = inner[i - 1][j - 1]
-        if weight and best[i][j] == best[i - 1][j - 1] + weight:
-            pairs += texts
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return best[-1][-1], pairs
-
-
-def _row_matching(rows: list[Node], columns: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
-    """The best matching of two long rows of siblings; row i of `best` covers the columns from `lows[i]` on.
-
-    Only sizes are kept, and the pairs chosen are matched once more.
-    """
-    if not rows or not columns:
-        return 0, []
-
-    def bounds(i: int) -> tuple[int, int]:
-        centre = i * len(columns) // len(rows)
-        return max(0, centre - NEAR_SIBLINGS), min(len(columns), centre + NEAR_SIBLINGS + 1)
-
-    best, lows, weights = [[0]], [0], []
-
-    def value(i: int, j: int) -> int:
-        line = best[i]
-        return line[min(max(j - lows[i], 0), len(line) - 1)]
-
-    for i, row in enumerate(rows):
-        low, high = bounds(i)
-        line, held = [value(i, low)], []
-        for j in range(low, high):
-            weight = matching(row, columns[j])[0] if row.tag == columns[j].tag else 0
-            held.append(weight)
-            line.append(max(value(i, j + 1), line[-1], value(i, j) + weight if weight else 0))
-        weights.append(held)
-        best.append(line)
-        lows.append(low)
-    pairs: list[tuple[Node, Node]] = []
-    i, j = len(rows), len(columns)
-    while i and j:
-        low, high = bounds(i - 1)
-        weight = weights[i - 1][j - 1 - low] if low < j <= high else 0
-        if weight and value(i, j) == value(i - 1, j - 1) + weight:
-            pairs += matching(rows[i - 1], columns[j - 1])[1]
-            i, j = i - 1, j - 1
-        elif value(i, j) == value(i - 1, j) or j <= low:
-            i -= 1
-        else:
-            j -= 1
-    return best[-1][-1], pairs
+def _shape(node: Node) -> int:
+    """Equal for subtrees of equal tags in equal order, within one task."""
+    if not node.shape:
+        node.shape = hash((node.tag, *map(_shape, node.children))) or 1
+    return node.shape
+
+
+class _Weights:
+    """Sizes of the largest matchings of subtrees, by their shapes."""
+
+    def __init__(self) -> None:
+        self.sizes: dict[int, int] = {}
+        self.known: dict[tuple[int, int], int] = {}
+
+    def size(self, node: Node) -> int:
+        shape = _shape(node)
+        if shape not in self.sizes:
+            self.sizes[shape] = 1 + sum(map(self.size, node.children))
+        return self.sizes[shape]
+
+    def __call__(self, a: Node, b: Node) -> int:
+        if a.tag != b.tag:
+            return 0
+        key = _shape(a), _shape(b)
+        if key[0] == key[1]:
+            return self.size(a)
+        if key not in self.known:
+            low, high = _equal_ends(a.children, b.children, _shape)
+            rows, columns = a.children[low : len(a.children) - high], b.children[low : len(b.children) - high]
+            total = 1 + sum(map(self.size, a.children[:low])) + sum(map(self.size, a.children[len(a.children) - high :]))
+            if rows and columns:
+                for line in self.lines(rows, columns, np.zeros(len(columns) + 1, np.int32)):
+                    pass
+                total += int(line[-1])
+            self.known[key] = total
+        return self.known[key]
+
+    def forget(self) -> None:
+        if len(self.known) + len(self.sizes) > KNOWN_SHAPES:
+            self.known.clear()
+            self.sizes.clear()
+
+    def row(self, node: Node, kinds: list[Node], kind: np.ndarray) -> np.ndarray:
+        """What a node's matching with each of a row of siblings weighs; `kinds` has one of each shape among them."""
+        return np.array([self(node, other) for other in kinds], np.int32)[kind]
+
+    def lines(self, rows: list[Node], columns: list[Node], line: np.ndarray) -> Iterator[np.ndarray]:
+        """The lines below `line` of the table of best matchings of the first rows with the first columns."""
+        kinds, kind = _kinds(columns)
+        for node in rows:
+            weight = self.row(node, kinds, kind)
+            below = np.zeros_like(line)
+            np.maximum.accumulate(np.maximum(line[1:], line[:-1] + weight), out=below[1:])
+            line = below
+            yield line
+
+    def texts(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        """The pairs of texts of the matching."""
+        pairs, todo = [], [(a, b)] if a.tag == b.tag else []
+        while todo:
+            x, y = todo.pop()
+            rows, columns = x.children, y.children
+            if x.tag == "#text":
+                pairs.append((x, y))
+            elif _shape(x) == _shape(y):
+                todo += zip(rows, columns)
+            else:
+                low, high = _equal_ends(rows, columns, _fingerprint)
+                after = len(rows) - high, len(columns) - high
+                todo += [*zip(rows[:low], columns[:low]), *zip(rows[after[0] :], columns[after[1] :])]
+                todo += self.siblings(rows[low : after[0]], columns[low : after[1]])
+        return pairs
+
+    def siblings(self, rows: list[Node], columns: list[Node]) -> list[tuple[Node, Node]]:
+        """The siblings that match, from the last to the first. Every so many lines one is kept, as many as lie between two."""
+        if not rows or not columns:
+            return []
+        step = isqrt(len(rows) - 1) + 1
+        line = np.zeros(len(columns) + 1, np.int32)
+        kept = [line]
+        for i, line in enumerate(self.lines(rows, columns, line), 1):
+            if i % step == 0:
+                kept.append(line)
+        kinds, kind = _kinds(columns)
+        out, i, j = [], len(rows), len(columns)
+        while i and j:
+            start = (i - 1) // step * step
+            best = [kept[start // step], *self.lines(rows[start:i], columns, kept[start // step])]
+            while i > start and j:
+                node, value = rows[i - 1], best[i - start][j]
+                weight = self(node, kinds[kind[j - 1]])
+                if weight and value == best[i - start - 1][j - 1] + weight:
+                    out.append((node, columns[j - 1]))
+                    i, j = i - 1, j - 1
+                elif value == best[i - start - 1][j]:
+                    i -= 1
+                else:
+                    j -= 1
+        return out
+
+
+def _equal_ends(rows: list[Node], columns: list[Node], of: Callable[[Node], int]) -> tuple[int, int]:
+    """How many siblings are equal from the start on, and how many of the rest from the end on."""
+    shorter, low, high = min(len(rows), len(columns)), 0, 0
+    while low < shorter and of(rows[low]) == of(columns[low]):
+        low += 1
+    while high < shorter - low and of(rows[-1 - high]) == of(columns[-1 - high]):
+        high += 1
+    return low, high
+
+
+def _kinds(nodes: list[Node]) -> tuple[list[Node], np.ndarray]:
+    """One node of each shape, and which of them each node is like."""
+    first: dict[int, int] = {}
+    kinds, kind = [], []
+    for node in nodes:
+        shape = _shape(node)
+        if shape not in first:
+            first[shape] = len(kinds)
+            kinds.append(node)
+        kind.append(first[shape])
+    return kinds, np.array(kind, np.int64)
 
 
 def blocks(root: Node, dropped: set[int]) -> list[str]:
@@ -432,7 +462,9 @@ def wrapper(example: str, varied: tuple[tuple[int, float, bool], ...]) -> Node:
     return root
 
 
-def main_text(html: str | None, template: frozenset[int] = frozenset(), pattern: Node | None = None) -> str:
+def main_text(
+    html: str | None, template: frozenset[int] = frozenset(), pattern: Node | None = None, weights: _Weights | None = None
+) -> str:
     """The page's content without its template texts, blocks joined by a line feed.
 
     With a wrapper as `pattern`, elements that match what stands beside the content go, and those that match what holds it
@@ -443,7 +475,7 @@ def main_text(html: str | None, template: frozenset[int] = frozenset(), pattern:
     held, beside = set(), set()
     if pattern is not None:
         ink = _measure(page)
-        for a, b in _around(matching(pattern, page)[1]):
+        for a, b in _around(matching(pattern, page, weights)[1]):
             if a.part == "content":
                 held.add(id(b))
             elif a.part == "beside" and 2 * b.ink <= ink:
@@ -498,6 +530,7 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = parse(html)
         return root, {id(node): i for i, node in enumerate(elements(root))}, {id(node): where for where, node in places(root)}
 
+    weights = _Weights()
     for batch in batches:
         said: set[tuple] = set()
         pages: Counter = Counter()
@@ -511,7 +544,7 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 title = " ".join(_TITLE.findall(row["html"])[:1])
                 voice = mark(title, longest)
                 said.add((*key, voice, None))
-                pairs = matching(pattern, page)[1]
+                pairs = matching(pattern, page, weights)[1]
                 equal = [(a, b) for a, b in pairs if id(a) in path and _same(a.text, b.text)]
                 said.update((*key, voice, mark(path[id(a)], a.text)) for a, _ in equal)
                 varying = _varying(page, {id(b) for _, b in equal})
@@ -565,14 +598,14 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in names)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made_wrapper = lru_cache(64)(wrapper)
+        made_wrapper, weights = lru_cache(64)(wrapper), _Weights()
         for batch in batches:
             for part in slices(batch, "html"):
                 made = []
                 for row in part.select(["html", "marks", "example", "varied"]).to_pylist():
                     varied = tuple(sorted((v["node"], v["ink"], v["most"]) for v in row["varied"] or ()))
                     pattern = made_wrapper(row["example"], varied) if row["example"] and row["html"] else None
-                    made.append(main_text(row["html"], frozenset(row["marks"] or ()), pattern))
+                    made.append(main_text(row["html"], frozenset(row["marks"] or ()), pattern, weights))
                 kept = part.select([f"given{i}" for i in range(len(names))]).columns
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.string())], [*names, "text"])
 

@@ -136,6 +136,16 @@ def test_long_rows_of_siblings():
     assert html.matching(html.parse("<ul>" + "".join(rows[:3000])), other)[0] == 2 + 2 * 3000
 
 
+def test_rows_of_any_length_are_matched_whole():
+    """Partners far from the same relative place, in rows of more than 10,000 pairs."""
+    items, extra = "".join(f"<li><b>x{i}</b>" for i in range(150)), "".join(f"<li>new {i}" for i in range(400))
+    a, b = (html.parse(f"<ul>{rows}</ul>") for rows in (f"<p>a</p>{items}<p>b</p>", f"<p>c</p>{extra}{items}<p>d</p>"))
+    weight, pairs = html.matching(a, b)
+    assert weight == 2 + 2 * 2 + 3 * 150
+    inner = [(x.text, y.text) for x, y in pairs if x.text[0] == "x"]
+    assert len(inner) == 150 and all(x == y for x, y in inner)
+
+
 def test_workers_need_not_have_the_package():
     """What travels names nothing of the package: it is read by an interpreter that cannot find it."""
     import pathlib
