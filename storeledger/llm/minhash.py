@@ -444,14 +444,18 @@ def _alike_pairs(given: DataFrame, left: DataFrame, size: int, idf: Idf, similar
     )
     rest = 1 - similarity + 1e-6  # for rounding
     first = (F.col("upto") - F.col("weight") <= rest * F.col("whole")) | (F.col("place") - 1 <= rest * F.col("count"))
-    prefix = staged(placed.where(first & F.col("several")).select("hash", "label", "node", "whole", "count"))
+    onward = {"whole_on": F.col("whole") - F.col("upto") + F.col("weight"), "count_on": F.col("count") - F.col("place") + 1}
+    prefix = placed.where(first & F.col("several")).withColumns(onward)
+    prefix = staged(prefix.select("hash", "label", "node", "whole", "whole_on", "count", "count_on"))
     classes = prefix.select("hash", "label").distinct()
     several = classes.groupBy("hash").agg(F.count("*").alias("classes")).where("classes > 1").select("hash")
     classes = staged(classes.join(several, "hash", "left_semi"))
     met = classes.join(classes.toDF("hash", "other_label"), "hash").where("label < other_label")
     mine = prefix.join(met, ["hash", "label"]).drop("label")
-    theirs = prefix.toDF("hash", "other_label", "other", "other_whole", "other_count")
-    near = " or ".join(f"least({x}, other_{x}) >= {similarity - 1e-6} * greatest({x}, other_{x})" for x in ("whole", "count"))
+    theirs = prefix.toDF("hash", "other_label", "other", *(f"other_{c}" for c in ("whole", "whole_on", "count", "count_on")))
+    # At the first shingle two texts share, what either has from there on must hold all that they need to share.
+    share = similarity / (1 + similarity) - 1e-6
+    near = " or ".join(f"least({x}_on, other_{x}_on) >= {share} * ({x} + other_{x})" for x in ("whole", "count"))
     return _pairs(mine.join(theirs, ["hash", "other_label"]).where(near).select("node", "other"))
 
 
