@@ -447,14 +447,19 @@ def _alike_pairs(given: DataFrame, left: DataFrame, size: int, idf: Idf, similar
     onward = {"whole_on": F.col("whole") - F.col("upto") + F.col("weight"), "count_on": F.col("count") - F.col("place") + 1}
     prefix = placed.where(first & F.col("several")).withColumns(onward)
     prefix = staged(prefix.select("hash", "label", "node", "whole", "whole_on", "count", "count_on"))
-    classes = prefix.select("hash", "label").distinct()
+    # At the first shingle two texts share, what either has from there on must hold all that they need to share. Of two
+    # classes the most that a text of either has to spare, and the least that one needs, tell whether any pair may do.
+    share = similarity / (1 + similarity) - 1e-6
+    bounds = {f"{x}_{side}": how for x in ("whole", "count") for side, how in (("spare", f"max({x}_on - {share} * {x})"), ("need", f"{share} * min({x})"))}
+    classes = prefix.groupBy("hash", "label").agg(*(F.expr(how).alias(c) for c, how in bounds.items()))
     several = classes.groupBy("hash").agg(F.count("*").alias("classes")).where("classes > 1").select("hash")
     classes = staged(classes.join(several, "hash", "left_semi"))
-    met = classes.join(classes.toDF("hash", "other_label"), "hash").where("label < other_label")
+    others = classes.toDF("hash", "other_label", *(f"other_{c}" for c in bounds))
+    # Slightly lower for the rounding of these sums.
+    may = " or ".join(f"({x}_spare >= other_{x}_need - 1e-6 and other_{x}_spare >= {x}_need - 1e-6)" for x in ("whole", "count"))
+    met = classes.join(others, "hash").where(f"label < other_label and ({may})").select("hash", "label", "other_label")
     mine = prefix.join(met, ["hash", "label"]).drop("label")
     theirs = prefix.toDF("hash", "other_label", "other", *(f"other_{c}" for c in ("whole", "whole_on", "count", "count_on")))
-    # At the first shingle two texts share, what either has from there on must hold all that they need to share.
-    share = similarity / (1 + similarity) - 1e-6
     near = " or ".join(f"least({x}_on, other_{x}_on) >= {share} * ({x} + other_{x})" for x in ("whole", "count"))
     return _pairs(mine.join(theirs, ["hash", "other_label"]).where(near).select("node", "other"))
 
