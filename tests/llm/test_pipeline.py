@@ -68,3 +68,15 @@ def test_run_gives_the_last_stage(spark, corpus_root):
     rows = pipeline.run(spark, root).collect()
     assert rows and {r.doc_id for r in rows} <= {i for i, k in enumerate(kinds) if k not in ("junk", "leak")}
     assert all(zlib.crc32(b"") <= r.ids_crc32 < 1 << 32 for r in rows)
+
+
+def test_one_of_two_partners_in_full_buckets_stays(spark, tmp_path):
+    """Most of each text is one passage, so that all buckets are large; each text has one partner a little nearer than the rest."""
+    rng = random.Random(32)
+    passage, texts = corpus.prose(rng, 204), []
+    for _ in range(100):
+        shared = corpus.prose(rng, 7)
+        texts += [f"{passage} {shared} {corpus.prose(rng, 21)}" for _ in range(2)]
+    docs = corpus.stored(spark, corpus.frame(spark, texts, parts=4), tmp_path)
+    kept = pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(0, 200, 2))
