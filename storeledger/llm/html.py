@@ -25,15 +25,18 @@ KNOWN_SHAPES = 100_000  # pairs of shapes remembered from one page to the next
 CONSTANT_SHARE = 0.5  # of the distinct pages of a layout that must have a text in the same place for it to be template
 MINOR_SHARE = 0.2  # of the varying text beside it, below which a container is no part of the content
 NAMED_WEIGHT = 0.125  # of varying text in an element that its name calls furniture, when content is looked for
+FEW_CELLS = 4096  # of a table of pairs of siblings, up to which it is held whole
 SKETCH = 3  # children of a kind that stand for all of them in a wrapper
 
+# The last group of a token tells its kind: "text", "rest" of an element's start or end, or what is left out.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|iframe|textarea|title|template|svg|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+    r"(?P<text>[^<]+)"
+    r"|<!--.*?(?:-->|\Z)"
+    r"|<(?P<raw>script|style|noscript|iframe|textarea|title|template|svg|xmp)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>"
     r"(?P<held>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>[^<]+|<)",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
+    r"|(?P<lone><)",
     re.DOTALL | re.IGNORECASE,
 )
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.DOTALL | re.IGNORECASE)
@@ -46,6 +49,7 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3"
     " h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+_PARAGRAPH, _NO_WORDS = frozenset(["p"]), frozenset()
 _ENDS_ITSELF = {
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
@@ -93,29 +97,29 @@ def parse(html: str | None) -> Node:
     root = Node("#page")
     stack = [root]
     for found in _TOKEN.finditer(html or ""):
-        tag = found["tag"]
-        if tag is None:
-            text = found["text"]
-            if text is not None:
-                top = stack[-1].children
-                if top and top[-1].tag == "#text":
-                    top[-1].text += text
-                else:
-                    stack[-1].add(Node("#text", text))
+        kind = found.lastgroup
+        if kind == "text" or kind == "lone":
+            top = stack[-1].children
+            if top and top[-1].tag == "#text":
+                top[-1].text += found[0]
+            else:
+                stack[-1].add(Node("#text", found[0]))
+            continue
+        if kind != "rest":
             continue
+        close, tag, rest = found.group("close", "tag", "rest")
         tag = tag.lower()
-        if found["close"]:
+        if close:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
                     break
             continue
         if tag in _BLOCK:
-            _close(stack, frozenset(["p"]))
+            _close(stack, _PARAGRAPH)
         if tag in _ENDS_ITSELF:
             _close(stack, _ENDS_ITSELF[tag])
-        rest = found["rest"]
-        node = Node(tag, words=_words(rest) if "=" in rest else frozenset())
+        node = Node(tag, words=_words(rest) if "=" in rest else _NO_WORDS)
         stack[-1].add(node)
         if tag not in _VOID and not rest.endswith("/") and len(stack) < MAX_DEPTH:
             stack.append(node)
@@ -237,8 +241,8 @@ def matching(a: Node, b: Node, weights: _Weights | None = None) -> tuple[int, li
     Nodes match only if their tags are equal and their parents match. Siblings that are equal from either end on, texts
     included, match each other, which loses nothing. Those between are matched whole, in rows of any length: how much of two
     nodes matches depends on their shapes alone, so it is found once for each pair of shapes, and the table of all pairs of
-    siblings is filled line by line; of its lines some are kept, from which the others are made again. `weights` keeps what
-    was found from one page to the next.
+    siblings is filled line by line; of its lines some are kept, from which the others are made again (all of them where rows
+    are short). `weights` keeps what was found from one page to the next.
     """
     weights = weights or _Weights()
     weights.forget()
@@ -282,7 +286,9 @@ class _Weights:
             low, high = _equal_ends(a.children, b.children, _shape)
             rows, columns = a.children[low : len(a.children) - high], b.children[low : len(b.children) - high]
             total = 1 + sum(map(self.size, a.children[:low])) + sum(map(self.size, a.children[len(a.children) - high :]))
-            if rows and columns:
+            if len(rows) * len(columns) <= FEW_CELLS:
+                total += self.table(rows, columns)[0][-1][-1]
+            else:
                 for line in self.lines(rows, columns, np.zeros(len(columns) + 1, np.int32)):
                     pass
                 total += int(line[-1])
@@ -294,6 +300,27 @@ class _Weights:
             self.known.clear()
             self.sizes.clear()
 
+    def table(self, rows: list[Node], columns: list[Node]) -> tuple[list[list[int]], list[list[int]]]:
+        """All lines of the table of best matchings of the first rows with the first columns, and what each pair weighs."""
+        lines, weights = [[0] * (len(columns) + 1)], []
+        kinds = [(_shape(node), node) for node in columns]
+        of_shape: dict[int, list[int]] = {}
+        for node in rows:
+            shape, line = _shape(node), lines[-1]
+            if shape not in of_shape:
+                known = {other: self(node, column) for other, column in dict(kinds).items()}
+                of_shape[shape] = [known[other] for other, _ in kinds]
+            weights.append(of_shape[shape])
+            best, below = 0, [0]
+            for before, above, weight in zip(line, line[1:], weights[-1]):
+                if above > best:
+                    best = above
+                if weight and before + weight > best:
+                    best = before + weight
+                below.append(best)
+            lines.append(below)
+        return lines, weights
+
     def row(self, node: Node, kinds: list[Node], kind: np.ndarray) -> np.ndarray:
         """What a node's matching with each of a row of siblings weighs; `kinds` has one of each shape among them."""
         return np.array([self(node, other) for other in kinds], np.int32)[kind]
@@ -329,6 +356,8 @@ class _Weights:
         """The siblings that match, from the last to the first. Every so many lines one is kept, as many as lie between two."""
         if not rows or not columns:
             return []
+        if len(rows) * len(columns) <= FEW_CELLS:
+            return self.few(rows, columns)
         step = isqrt(len(rows) - 1) + 1
         line = np.zeros(len(columns) + 1, np.int32)
         kept = [line]
@@ -352,6 +381,21 @@ class _Weights:
                     j -= 1
         return out
 
+    def few(self, rows: list[Node], columns: list[Node]) -> list[tuple[Node, Node]]:
+        """The same siblings, from the whole table."""
+        lines, weights = self.table(rows, columns)
+        out, i, j = [], len(rows), len(columns)
+        while i and j:
+            value, weight = lines[i][j], weights[i - 1][j - 1]
+            if weight and value == lines[i - 1][j - 1] + weight:
+                out.append((rows[i - 1], columns[j - 1]))
+                i, j = i - 1, j - 1
+            elif value == lines[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+        return out
+
 
 def _equal_ends(rows: list[Node], columns: list[Node], of: Callable[[Node], int]) -> tuple[int, int]:
     """How many siblings are equal from the start on, and how many of the rest from the end on."""
@@ -576,7 +620,7 @@ def _varying(page: Node, equal: set[int]) -> dict[int, int]:
 
 
 def _same(a: str, b: str) -> bool:
-    return a == b or a.split() == b.split()
+    return a == b or a.lstrip()[:1] == b.lstrip()[:1] and a.split() == b.split()
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -146,6 +146,28 @@ def test_rows_of_any_length_are_matched_whole():
     assert len(inner) == 150 and all(x == y for x, y in inner)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_short_rows_match_as_long_ones_do(monkeypatch, seed):
+    """The table held whole gives the pairs that the table made line by line gives."""
+    rng = random.Random(seed)
+
+    def page():
+        kinds = ("<li>{}", "<li><b>{}</b>", "<li><b>{}</b><i>x</i>", "<p>{}</p>", "text {}<br>", "<ul><li>{}<li><a>y</a></ul>")
+        return html.parse("<div>" + "".join(rng.choice(kinds).format(rng.randint(0, 5)) for _ in range(rng.randint(0, 60))) + "</div>")
+
+    a, b = page(), page()
+    assert len(a.children[0].children) * len(b.children[0].children) <= html.FEW_CELLS
+    whole, pairs = html.matching(a, b)
+    monkeypatch.setattr(html, "FEW_CELLS", 0)
+    lined, same = html.matching(a, b)
+    assert whole == lined and [(id(x), id(y)) for x, y in pairs] == [(id(x), id(y)) for x, y in same]
+
+
+def test_tokens_with_open_quotes_and_lone_brackets():
+    assert html.main_text("<p>1 < 2 <b title='a>b'>and</b> <i x=\"open>3 > 2</p><!-- no --><STYLE a='>'>p</style>.") == "1 < 2 and <i x=\"open>3 > 2\n."
+    assert html.main_text("<p a=\"" + "x " * 200_000 + "<p>end") == "<p a=\"" + ("x " * 200_000).strip() + "\nend"
+
+
 def test_workers_need_not_have_the_package():
     """What travels names nothing of the package: it is read by an interpreter that cannot find it."""
     import pathlib
