@@ -25,6 +25,7 @@ CHANGE = -1.0  # score of a differing word against 1 for an equal one, beyond th
 REACH = 64  # words looked at beyond either end of a chain
 BLOCK = 16  # words that a passage explains together, if it has one of them
 
+RUNS = "array<struct<xs: array<int>, ys: array<int>>>"
 SPANS = "doc long, other long, start int, end int, other_start int, other_end int, n_words int, n_same int, similarity double"
 NEAR = "doc long, hash long, pos int, after binary, before binary"
 
@@ -71,26 +72,23 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     loose = near.withColumn("block", F.floor(F.col("pos") / BLOCK)).join(explained, ["doc", "block"], "left_anti")
     loose = staged(loose.select("doc", "hash", "pos", "after", "before"))
     neighbours = _neighbours(loose, "after", "before").union(_neighbours(loose, "before", "after"))
-    spans = staged(spans.union(_spans(given, _chains(neighbours, 1), min_words, similarity)))
-
-    wanted = staged(spans.select("doc").union(spans.select("other")).distinct())
-    names = given.select("doc", "doc_id").join(wanted, "doc", "left_semi").distinct()
-    found = spans.unionByName(_turned(spans)).join(names, "doc").join(names.toDF("other", "other_id"), "other")
+    spans = spans.union(_spans(given, _chains(neighbours, 1), min_words, similarity))
+    found = spans.unionByName(_turned(spans))
     return found.select("doc_id", "start", "end", "other_id", "other_start", "other_end", "n_words", "n_same", "similarity")
 
 
 def _turned(spans: DataFrame) -> DataFrame:
     """The spans seen from the other document."""
-    sides = {"doc": "other", "start": "other_start", "end": "other_end"}
+    sides = {"doc": "other", "doc_id": "other_id", "start": "other_start", "end": "other_end"}
     names = {**sides, **{b: a for a, b in sides.items()}}
     return spans.select([F.col(c).alias(names.get(c, c)) for c in spans.columns])
 
 
 def _chains(matches: DataFrame, least: int) -> DataFrame:
-    """Chains of the matches (doc, other, x, y) of each pair that has at least `least` of them."""
+    """Chains of the matches (doc, other, x, y) of each pair that has at least `least` of them, one row for each pair."""
     pairs = matches.groupBy("doc", "other").agg(F.collect_set(F.struct("x", "y")).alias("matches"))
     pairs = pairs.where(F.size("matches") >= least)
-    return staged(pairs.mapInArrow(_Chained(least), "doc long, other long, xs array<int>, ys array<int>"))
+    return staged(pairs.mapInArrow(_Chained(least), f"doc long, other long, runs {RUNS}"))
 
 
 def _neighbours(loose: DataFrame, first: str, second: str) -> DataFrame:
@@ -110,17 +108,17 @@ def _spans(given: DataFrame, chains: DataFrame, min_words: int, similarity: floa
     bits = filter_bits(ends.count())
     # Fingerprints are spread evenly, as the filter asks.
     found = given.mapInArrow(_Words(key_filter(ends, "doc", bits), bits), f"doc_id {id_type}, doc long, words array<int>")
-    held = staged(found.groupBy("doc").agg(F.first("words").alias("words")))
-    mine, theirs = held.toDF("doc", "mine"), held.toDF("other", "theirs")
+    held = staged(found.groupBy("doc").agg(F.first("doc_id").alias("doc_id"), F.first("words").alias("words")))
+    mine, theirs = held.toDF("doc", "doc_id", "mine"), held.toDF("other", "other_id", "theirs")
     sides = _around(_around(chains.join(mine, "doc"), "xs", "mine").join(theirs, "other"), "ys", "theirs")
-    return staged(sides.mapInArrow(_Aligned(min_words, similarity), SPANS))
+    return staged(sides.mapInArrow(_Aligned(min_words, similarity), f"doc_id {id_type}, other_id {id_type}, {SPANS}"))
 
 
 def _around(rows: DataFrame, at: str, text: str) -> DataFrame:
-    """Replace a document's words by those within REACH of the chain, and the chain's places by places among them."""
-    low = F.greatest(F.element_at(at, 1) - REACH, F.lit(0))
-    high = F.element_at(at, -1) + 1 + REACH
-    return rows.withColumn(f"{at}_low", low).withColumn(text, F.slice(text, F.col(f"{at}_low") + 1, high - F.col(f"{at}_low")))
+    """Replace a document's words by those within REACH of each chain, and the place of the first of them."""
+    low = f"greatest(element_at(run.{at}, 1) - {REACH}, 0)"
+    held = f"slice({text}, {low} + 1, element_at(run.{at}, -1) + {1 + REACH} - {low})"
+    return rows.withColumn(text, F.expr(f"transform(runs, run -> named_struct('low', {low}, 'words', {held}))"))
 
 
 def seeds(found: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -259,17 +257,17 @@ class _Chained:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, found = [], []
+            ends, found = [0], []
             matches = batch.column("matches")
             bounds = matches.offsets.to_numpy() - matches.offsets[0].as_py()
             xs, ys = (side.to_numpy() for side in matches.flatten().flatten())
             for i in range(batch.num_rows):
-                for chain in chains(xs[bounds[i] : bounds[i + 1]], ys[bounds[i] : bounds[i + 1]], least=self.least):
-                    row.append(i)
-                    found.append(chain)
-            kept = batch.select(["doc", "other"]).take(pa.array(row, pa.int64())).columns
-            made = [pa.array([chain[side] for chain in found], pa.list_(pa.int32())) for side in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*kept, *made], ["doc", "other", "xs", "ys"])
+                found += chains(xs[bounds[i] : bounds[i + 1]], ys[bounds[i] : bounds[i + 1]], least=self.least)
+                ends.append(len(found))
+            sides = [pa.array([chain[side] for chain in found], pa.list_(pa.int32())) for side in (0, 1)]
+            runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(sides, ["xs", "ys"]))
+            made = pa.RecordBatch.from_arrays([*batch.select(["doc", "other"]).columns, runs], ["doc", "other", "runs"])
+            yield made.filter(pa.array(np.diff(ends) > 0))
 
 
 def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray, similarity: float = SIMILARITY) -> tuple[int, int, int, int, int, int]:
@@ -346,16 +344,18 @@ class _Aligned:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            names = ("doc", "other", "mine", "theirs", "xs", "ys", "xs_low", "ys_low")
-            for doc, other, mine, theirs, xs, ys, x_low, y_low in zip(*(batch.column(n) for n in names)):
-                x_low, y_low = x_low.as_py(), y_low.as_py()
-                at = [side.values.to_numpy() for side in (mine, theirs, xs, ys)]
-                start, end, other_start, other_end, total, same = align(at[0], at[1], at[2] - x_low, at[3] - y_low, self.similarity)
-                if min(varied(at[0][start:end]), varied(at[1][other_start:other_end])) >= self.min_words:
-                    places = (start + x_low, end + x_low, other_start + y_low, other_end + y_low)
-                    out.append((doc.as_py(), other.as_py(), *places, total, same, same / total))
-            kinds = (pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.float64())
+            row, out = [], []
+            for i, (mine, theirs, runs) in enumerate(zip(*(batch.column(name) for name in ("mine", "theirs", "runs")))):
+                for near, far, run in zip(mine, theirs, runs):
+                    low, other_low = near["low"].as_py(), far["low"].as_py()
+                    a, b, xs, ys = (side.values.to_numpy() for side in (near["words"], far["words"], run["xs"], run["ys"]))
+                    start, end, other_start, other_end, total, same = align(a, b, xs - low, ys - other_low, self.similarity)
+                    if min(varied(a[start:end]), varied(b[other_start:other_end])) >= self.min_words:
+                        row.append(i)
+                        out.append((start + low, end + low, other_start + other_low, other_end + other_low, total, same, same / total))
+            names = ["doc_id", "other_id", "doc", "other"]
+            kept = batch.select(names).take(pa.array(row, pa.int64())).columns
+            kinds = (*[pa.int32()] * 6, pa.float64())
             columns = list(zip(*out)) if out else [[] for _ in kinds]
-            labels = ["doc", "other", "start", "end", "other_start", "other_end", "n_words", "n_same", "similarity"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], labels)
+            labels = ["start", "end", "other_start", "other_end", "n_words", "n_same", "similarity"]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, k) for c, k in zip(columns, kinds))], [*names, *labels])

@@ -138,6 +138,29 @@ def test_planted_passages_are_found_and_nothing_else(spark, tmp_path, case):
             assert max(r.end - r.start for r in rows if r.doc_id == d) >= 50
 
 
+def test_words_meet_once_for_each_pair(spark, tmp_path, monkeypatch):
+    """However often a document holds a passage, a pair of documents is one row of the joins; no place of it is lost."""
+    rng = random.Random(26)
+    passage = corpus.prose(rng, 120)
+    texts = [" ".join([corpus.prose(rng, 30), passage] * times) for times in (1, 1, 5, 5, 8)]
+    ids = [None, 3, 4, 5, 6]
+    docs = corpus.stored(spark, corpus.frame(spark, texts, ids), tmp_path)
+    made, chained = [], passages._chains
+    monkeypatch.setattr(passages, "_chains", lambda *args: made.append(chained(*args)) or made[-1])
+    rows = passages.repeated_passages(docs).collect()
+    assert {r.doc_id for r in rows} == set(ids)
+    for chains in made:
+        assert chains.count() == chains.select("doc", "other").distinct().count()
+    assert sum(len(r.runs) for r in made[0].collect()) > made[0].count()
+    held = {i: corpus.words(text) for i, text in zip(ids, texts)}
+    for r in rows:
+        mine, theirs = held[r.doc_id][r.start : r.end], held[r.other_id][r.other_start : r.other_end]
+        assert min(len(mine), len(theirs)) >= 50 and corpus.jaccard(set(mine), set(theirs)) > 0.6
+    times = {i: len(held[i]) // len(held[3]) for i in ids}
+    first = max(ids, key=lambda i: sum(r.other_id == i for r in rows))
+    assert all(len({r.start for r in rows if r.doc_id == i and r.other_id == first}) >= times[i] for i in ids if i != first and times[i] > 1)
+
+
 def test_empty_and_single_tables(spark, tmp_path):
     empty = corpus.stored(spark, corpus.frame(spark, []), tmp_path / "a")
     assert passages.repeated_passages(empty).collect() == []
