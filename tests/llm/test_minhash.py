@@ -70,6 +70,34 @@ def test_partners_in_full_buckets_are_found(spark, tmp_path):
     assert classes(rows) == {frozenset(pair) for pair in pairs}
 
 
+def test_classes_do_not_hang_on_the_first_pairs(spark, tmp_path, monkeypatch, family):
+    """Without the partners chosen in buckets of three texts and more, the exact join finds every class by itself."""
+    docs = corpus.stored(spark, corpus.frame(spark, family, parts=4), tmp_path)
+    wanted = classes(minhash.near_duplicates(docs).documents.collect())
+    first = minhash._Buckets.first_pairs
+
+    def of_two(self):
+        self.members = self.members.where("false")
+        return first(self)
+
+    def none(self, labels):
+        return spark.createDataFrame([], "a long, b long")
+
+    members = []
+    made = minhash._Buckets.__init__
+    monkeypatch.setattr(minhash._Buckets, "__init__", lambda self, texts: (made(self, texts), members.append(self.members))[0])
+    monkeypatch.setattr(minhash._Buckets, "first_pairs", of_two)
+    monkeypatch.setattr(minhash._Buckets, "further_pairs", none)
+    divided = minhash._Buckets.divided
+
+    def whole(self, labels):
+        self.members = members[0]
+        return divided(self, labels)
+
+    monkeypatch.setattr(minhash._Buckets, "divided", whole)
+    assert classes(minhash.near_duplicates(docs).documents.collect()) == wanted
+
+
 def test_one_document_of_each_class_stays(spark, tmp_path, family):
     docs = corpus.stored(spark, corpus.frame(spark, family, [*range(len(family) - 3), 3, None, None]).withColumnRenamed("source", "_place"), tmp_path)
     rows = minhash.near_duplicates(docs).documents.collect()
