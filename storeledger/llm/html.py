@@ -6,7 +6,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 from html import unescape
 from math import isqrt
 
@@ -21,7 +21,9 @@ from storeledger.llm.text import slices
 MIN_PAGES = 4  # distinct ones, for a wrapper
 FEW_PAGES = 8  # below that a text is template only if all of them have it
 MAX_DEPTH = 200  # elements nested deeper become siblings, their texts stay
-KNOWN_SHAPES = 100_000  # pairs of shapes remembered from one page to the next
+KNOWN_SHAPES = 100_000  # pairs of shapes remembered, and then found again
+HELD_CHARS = 1 << 22  # of the examples of which a task keeps what it made
+COUNTED_ROWS = 100_000  # of marks and elements counted, after which a task hands on its counts
 CONSTANT_SHARE = 0.5  # of the distinct pages of a layout that must have a text in the same place for it to be template
 MINOR_SHARE = 0.2  # of the varying text beside it, below which a container is no part of the content
 NAMED_WEIGHT = 0.125  # of varying text in an element that its name calls furniture, when content is looked for
@@ -283,6 +285,8 @@ class _Weights:
         if key[0] == key[1]:
             return self.size(a)
         if key not in self.known:
+            if len(self.known) >= KNOWN_SHAPES:
+                self.known.clear()
             low, high = _equal_ends(a.children, b.children, _shape)
             rows, columns = a.children[low : len(a.children) - high], b.children[low : len(b.children) - high]
             total = 1 + sum(map(self.size, a.children[:low])) + sum(map(self.size, a.children[len(a.children) - high :]))
@@ -566,26 +570,57 @@ _COUNTED = ("host", "layout", "voice", "mark", "node", "pages", "ink")
 _COUNTED_KINDS = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64())
 
 
+class _Recent:
+    """What `make` makes of the wrapper columns of a row, once for each layout of a host and not for each row.
+
+    The layouts used last stay, as many as have `HELD_CHARS` characters of examples; the very last one stays in any case.
+    """
+
+    def __init__(self, make: Callable, *columns: str) -> None:
+        self.make, self.columns, self.chars = make, columns, 0
+        self.held: dict[tuple, tuple] = {}
+
+    def __call__(self, part: pa.RecordBatch, row: int, key: tuple[str, int]) -> tuple:
+        if key in self.held:
+            self.held[key] = self.held.pop(key)
+            return self.held[key][1]
+        given = [part.column(name)[row].as_py() for name in self.columns]
+        size = len(given[0] or "") + 1024
+        self.chars += size
+        while self.held and self.chars > HELD_CHARS:
+            self.chars -= self.held.pop(next(iter(self.held)))[0]
+        self.held[key] = size, self.make(*given)
+        return self.held[key][1]
+
+
 def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each page its voice (title and longest text), the template's texts it has, and what varies below each element."""
 
-    @lru_cache(64)
     def example(html: str) -> tuple[Node, dict[int, int], dict[int, str]]:
         root = parse(html)
         return root, {id(node): i for i, node in enumerate(elements(root))}, {id(node): where for where, node in places(root)}
 
-    weights = _Weights()
+    made, weights = _Recent(example, "example"), _Weights()
+    said: set[tuple] = set()
+    pages: Counter = Counter()
+    inks: Counter = Counter()
+
+    def counted() -> pa.RecordBatch:
+        rows = [(*row, None, None, None) for row in said]
+        rows += [(host, layout, None, None, node, count, float(inks[host, layout, node])) for (host, layout, node), count in pages.items()]
+        columns = list(zip(*rows)) if rows else [[] for _ in _COUNTED]
+        for held in (said, pages, inks):
+            held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _COUNTED_KINDS)], list(_COUNTED))
+
     for batch in batches:
-        said: set[tuple] = set()
-        pages: Counter = Counter()
-        inks: Counter = Counter()
         for part in slices(batch, "html"):
-            for row in part.to_pylist():
-                (pattern, number, path), page = example(row["example"]), parse(row["html"])
-                key = row["host"], row["layout"]
+            for i, (host, layout, html) in enumerate(zip(*(part.column(name).to_pylist() for name in ("host", "layout", "html")))):
+                key = host, layout
+                (pattern, number, path), page = made(part, i, key), parse(html)
                 texts = places(page)
                 longest = max((node.text for _, node in texts), key=len, default="")
-                title = " ".join(_TITLE.findall(row["html"])[:1])
+                title = " ".join(_TITLE.findall(html)[:1])
                 voice = mark(title, longest)
                 said.add((*key, voice, None))
                 pairs = matching(pattern, page, weights)[1]
@@ -595,10 +630,9 @@ def _agreements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for a, b in _around(pairs):
                     pages[*key, number[id(a)]] += 1
                     inks[*key, number[id(a)]] += varying.get(id(b), 0)
-        rows = [(*row, None, None, None) for row in said]
-        rows += [(host, layout, None, None, node, count, float(inks[host, layout, node])) for (host, layout, node), count in pages.items()]
-        columns = list(zip(*rows)) if rows else [[] for _ in _COUNTED]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _COUNTED_KINDS)], list(_COUNTED))
+                if len(said) + len(pages) >= COUNTED_ROWS:
+                    yield counted()
+    yield counted()
 
 
 def _varying(page: Node, equal: set[int]) -> dict[int, int]:
@@ -638,19 +672,22 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     rows = pages.select(
         *[F.col(c).alias(f"given{i}") for i, c in enumerate(names)], F.col(html).alias("html"), host.alias("host"), _layout(html).alias("layout")
     )
-    joined = rows.join(small(wrappers, size), ["host", "layout"], "left").drop("host", "layout")
+    joined = rows.join(small(wrappers, size), ["host", "layout"], "left")
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in names)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made_wrapper, weights = lru_cache(64)(wrapper), _Weights()
+        def made(example: str | None, marks: list[int] | None, varied: list[dict] | None) -> tuple[frozenset[int], Node | None]:
+            numbers = tuple(sorted((v["node"], v["ink"], v["most"]) for v in varied or ()))
+            return frozenset(marks or ()), wrapper(example, numbers) if example else None
+
+        held, weights = _Recent(made, "example", "marks", "varied"), _Weights()
         for batch in batches:
             for part in slices(batch, "html"):
-                made = []
-                for row in part.select(["html", "marks", "example", "varied"]).to_pylist():
-                    varied = tuple(sorted((v["node"], v["ink"], v["most"]) for v in row["varied"] or ()))
-                    pattern = made_wrapper(row["example"], varied) if row["example"] and row["html"] else None
-                    made.append(main_text(row["html"], frozenset(row["marks"] or ()), pattern, weights))
+                out = []
+                for i, (host, layout, html) in enumerate(zip(*(part.column(name).to_pylist() for name in ("host", "layout", "html")))):
+                    template, pattern = held(part, i, (host, layout))
+                    out.append(main_text(html, template, pattern if html else None, weights))
                 kept = part.select([f"given{i}" for i in range(len(names))]).columns
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(made, pa.string())], [*names, "text"])
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.string())], [*names, "text"])
 
     return joined.mapInArrow(texts, f"{fields}, text string")

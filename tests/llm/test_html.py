@@ -1,6 +1,9 @@
 import random
+import tracemalloc
+from collections import Counter
 from html import escape
 
+import pyarrow as pa
 import pytest
 
 import corpus
@@ -222,3 +225,68 @@ def test_layouts_of_a_host_have_their_own_wrappers(spark):
     pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(rows)], "page_id long, url string, html string")
     found = {r.page_id: r.text for r in html.extract(pages).collect()}
     assert [found[i] for i in range(len(rows))] == [wanted for *_, wanted in rows]
+
+
+def test_a_layouts_example_is_read_once_and_not_for_each_page():
+    """Short pages beside a long example: what a task holds does not grow with pages times the example's length."""
+    example, count = "<body><p>" + "long " * 20_000 + "</body>", 600
+    pages = [f"<body><p>short {i}</body>" for i in range(count)]
+    columns = {"host": ["h"] * count, "layout": [0] * count, "html": pages, "example": [example] * count}
+    batch = pa.RecordBatch.from_pydict(columns)
+    tracemalloc.start()
+    found = pa.Table.from_batches(html._agreements(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(found.column("voice").drop_null().to_pylist())) == count
+    assert most < 100 * len(example)
+
+
+def test_wrappers_with_many_elements_are_read_once(spark):
+    """The elements listed for a layout are not made anew for each page, and layouts that do not fit are made again."""
+    made = []
+    held = html._Recent(lambda example, varied: made.append(example) or (example, len(varied)), "example", "varied")
+    big = "x" * (html.HELD_CHARS - 4000)
+    part = pa.RecordBatch.from_pydict({"example": ["a", "b", big, None], "varied": [[1], [1, 2], [], []]})
+    assert [held(part, i, ("h", i)) for i in (0, 1, 0, 2, 3)] == [("a", 1), ("b", 2), ("a", 1), (big, 0), (None, 0)]
+    assert made == ["a", "b", big, None]
+    held(part, 2, ("h", 2))
+    assert len(made) == 4 and held(part, 1, ("h", 1)) == ("b", 2) and len(made) == 5
+    assert sum(size for size, _ in held.held.values()) == held.chars <= html.HELD_CHARS
+
+
+def test_shapes_remembered_are_bounded_within_a_page(monkeypatch):
+    rng = random.Random(23)
+
+    def page():
+        tags = ("i", "b", "u", "em", "a")
+        items = ("".join(f"<{t}>x</{t}>" for t in rng.choices(tags, k=rng.randint(1, 6))) for _ in range(80))
+        return html.parse("<ul>" + "".join(f"<li>{item}</li>" for item in items) + "</ul>")
+
+    a, b = page(), page()
+    whole, pairs = html.matching(a, b)
+    monkeypatch.setattr(html, "KNOWN_SHAPES", 40)
+    weights = html._Weights()
+    bounded, same = html.matching(a, b, weights)
+    assert bounded == whole and [(id(x), id(y)) for x, y in pairs] == [(id(x), id(y)) for x, y in same]
+    assert len(weights.known) <= 40 + 5
+
+
+def test_counts_are_handed_on_in_parts(monkeypatch):
+    pages = [f"<body><p>same</p><p>own {i}</p></body>" for i in range(50)]
+    batch = pa.RecordBatch.from_pydict({"host": ["h"] * 50, "layout": [0] * 50, "html": pages, "example": [pages[0]] * 50})
+
+    def counted():
+        parts = list(html._agreements(iter([batch])))
+        sums, said = Counter(), set()
+        for row in pa.Table.from_batches(parts).to_pylist():
+            if row["node"] is None:
+                said.add((row["voice"], row["mark"]))
+            else:
+                sums[row["node"], "pages"] += row["pages"]
+                sums[row["node"], "ink"] += row["ink"]
+        return len(parts), sums, said
+
+    whole = counted()
+    monkeypatch.setattr(html, "COUNTED_ROWS", 20)
+    parts = counted()
+    assert parts[0] > whole[0] and parts[1:] == whole[1:]
