@@ -146,8 +146,36 @@ class _Seeds:
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(doc)], ["hash", "doc"])
 
 
+def told_apart(row: np.ndarray, hashes: np.ndarray, place: np.ndarray, around: list[np.ndarray]) -> np.ndarray:
+    """Indices of the seeds that stand for all: a stretch that says a few words over and over is not held at every place.
+
+    A seed with the same words around it as the last one of its hash, at most CONTEXT words before, continues a run. What lies
+    between the first and the last of a run is one period over and over, so its places have the same neighbours in any order
+    of the words around, and align alike wherever the stretch goes on for REACH words on either side. Of those two
+    in CONTEXT words are kept, which lets seeds of a stretch still chain in either order; none that is left out is
+    2 * CONTEXT words or more from its kept ones, so passages of MIN_WORDS around these cover it.
+    """
+    order = np.lexsort((place, hashes, row))
+    at, count = place[order], np.arange(len(order))
+    runs_on = (row[order][1:] == row[order][:-1]) & (hashes[order][1:] == hashes[order][:-1]) & (np.diff(at) <= CONTEXT)
+    again = np.flatnonzero(runs_on)
+    for side in around:
+        again = again[(side[order[again]] == side[order[again + 1]]).all(1)]
+    begins = np.ones(len(order), bool)
+    begins[again + 1] = False
+    run = np.cumsum(begins) - 1
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(order))[: len(first)] - 1
+    past, ahead = at - at[first[run]], at[last[run]] - at
+    # Beyond a run's ends its stretch goes on for CONTEXT words.
+    kept = (past <= REACH - CONTEXT) | (ahead <= REACH - CONTEXT)
+    part = past // CONTEXT
+    kept |= (count < 2) | (part != np.append(part[:2], part[:-2])[: len(part)])
+    return np.sort(order[kept])
+
+
 class _Near:
-    """The seeds that may be in another document too, one row for each, with a byte for each word around them."""
+    """The seeds that may be in another document too, one row for each that the words around it, a byte for each, tell apart."""
 
     def __init__(self, bitmap: np.ndarray, bits: int) -> None:
         self.bitmap, self.bits = bitmap, bits
@@ -162,13 +190,16 @@ class _Near:
                 row = found.doc[at]
                 place = (at - found.first_words()[row]).astype(np.int32)
                 marks = np.maximum(found.hashes >> np.uint64(56), 1).astype(np.uint8)
-                columns = [pa.array(part.column("doc").to_numpy()[row]), pa.array(hashes.view(np.int64)), pa.array(place)]
+                sides = []
                 for step in (1, -1):
                     around = at[:, None] + step * np.arange(1, CONTEXT + 1)
                     inside = np.clip(around, 0, max(len(marks) - 1, 0))
-                    held = np.where((inside == around) & (found.doc[inside] == row[:, None]), marks[inside], 0).astype(np.uint8)
-                    offsets = np.arange(len(at) + 1, dtype=np.int32) * CONTEXT
-                    columns.append(pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held.tobytes())]))
+                    sides.append(np.where((inside == around) & (found.doc[inside] == row[:, None]), marks[inside], 0).astype(np.uint8))
+                kept = told_apart(row, hashes, place, sides)
+                columns = [pa.array(part.column("doc").to_numpy()[row[kept]]), pa.array(hashes[kept].view(np.int64)), pa.array(place[kept])]
+                for held in sides:
+                    offsets = np.arange(len(kept) + 1, dtype=np.int32) * CONTEXT
+                    columns.append(pa.Array.from_buffers(pa.binary(), len(kept), [None, pa.py_buffer(offsets), pa.py_buffer(held[kept].tobytes())]))
                 yield pa.RecordBatch.from_arrays(columns, ["doc", "hash", "pos", "after", "before"])
 
 

@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus
 from storeledger.llm import passages
+from storeledger.llm.text import words as words_of
 
 
 @pytest.fixture(scope="module")
@@ -161,6 +163,52 @@ def test_words_meet_once_for_each_pair(spark, tmp_path, monkeypatch):
     assert all(len({r.start for r in rows if r.doc_id == i and r.other_id == first}) >= times[i] for i in ids if i != first and times[i] > 1)
 
 
+def test_words_said_over_and_over_are_not_held_at_every_place(spark, tmp_path, monkeypatch):
+    """A pair of words that many documents end in: few of its places are held, and all of them are found."""
+    rng = random.Random(27)
+    times = 400
+    pairs = (f"{corpus.word(rng)}a {corpus.word(rng)}b" for _ in range(1000))
+    # One whose seeds are of one hash, so that it stands alone.
+    pair = next(p for p in pairs if len(set(passages.seeds(words_of(pa.array([f"{p} " * times])))[0].tolist())) == 1)
+    shared = corpus.prose(rng, 12)
+    endings = [f"{pair} " * times] * 20 + [f"{shared} " * 40] * 3
+    texts = [f"{corpus.prose(rng, 30)} {ending}" for ending in endings] + [corpus.prose(rng, 80)]
+    docs = corpus.stored(spark, corpus.frame(spark, texts), tmp_path)
+    made, staged = [], passages.staged
+    monkeypatch.setattr(passages, "staged", lambda df, *args: made.append(staged(df, *args)) or made[-1])
+    rows = passages.repeated_passages(docs).collect()
+    near, loose = [df for df in made if "after" in df.columns]
+    most = 2 * passages.REACH + 4 * times // passages.CONTEXT
+    for held in (near, loose):
+        assert held.groupBy("doc", "hash").count().agg({"count": "max"}).first()[0] <= most < times
+    assert {r.doc_id for r in rows} == set(range(len(endings)))
+    for i in range(20):
+        mine = corpus.words(texts[i])
+        covered = {at for r in rows if r.doc_id == i for at in range(r.start, r.end)}
+        assert covered >= set(range(30, len(mine)))
+
+
+@pytest.mark.parametrize("period", [1, 2, 3, 7, 12, 24, 25, 40])
+def test_places_left_out_are_within_a_run(period):
+    """Any place left out has the words around it of the kept ones of its hash before and after, less than 48 words apart."""
+    rng = np.random.default_rng(period)
+    size = passages.CONTEXT
+    marks = np.concatenate([rng.integers(1, 256, 60), np.tile(rng.integers(1, 256, period), 400 // period), rng.integers(1, 256, 60)])
+    place = np.arange(size, len(marks) - size)
+    sides = [marks[place[:, None] + step * np.arange(1, size + 1)] for step in (1, -1)]
+    hashes, row = marks[place].astype(np.uint64), place * 0
+    order = rng.permutation(len(place))
+    kept = passages.told_apart(row[order], hashes[order], place[order], [side[order] for side in sides])
+    assert (np.diff(kept) > 0).all()
+    kept = set(order[kept].tolist())
+    assert (len(kept) < len(place)) == (period < size / 2)
+    around = np.hstack([hashes[:, None], *sides])
+    for i in set(range(len(place))) - kept:
+        alike = [j for j in kept if (around[j] == around[i]).all()]
+        before, after = max(j for j in alike if j < i), min(j for j in alike if j > i)
+        assert after - before < 2 * size
+
+
 def test_empty_and_single_tables(spark, tmp_path):
     empty = corpus.stored(spark, corpus.frame(spark, []), tmp_path / "a")
     assert passages.repeated_passages(empty).collect() == []
