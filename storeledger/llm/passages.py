@@ -38,7 +38,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     added or missing. Words are runs of letters and digits, in lower case; one that equals the word before it does not count
     towards `min_words`, so that documents which say one word over and over share no passage by that.
 
-    Documents that have a passage get a row for it; not every pair of them does. First the document of the smallest
+    Documents that have a passage get a row for it; not every pair of them does. Of the passages of one pair those are left out
+    whose words are all, on both sides, in others of that pair. First the document of the smallest
     fingerprint that holds a seed stands for all, and the others are held against it if two seeds agree. Then the seeds
     outside the passages found are put in order of the words after them (and, once more, before them), and each is held
     against its neighbour: those that agree longest stand together, however many documents hold pieces of a passage. So
@@ -369,6 +370,22 @@ def varied(words: np.ndarray) -> int:
     return len(words) - int((words[1:] == words[:-1]).sum())
 
 
+def fewest(start: list[int], end: list[int]) -> set[int]:
+    """The fewest of these spans that cover every place any of them covers."""
+    order = sorted(range(len(start)), key=lambda i: (start[i], -end[i]))
+    kept, reach, at = set(), 0, 0
+    while at < len(order):
+        reach, best = max(reach, start[order[at]]), -1
+        while at < len(order) and start[order[at]] <= reach:
+            if end[order[at]] > (reach if best < 0 else end[best]):
+                best = order[at]
+            at += 1
+        if best >= 0:
+            kept.add(best)
+            reach = end[best]
+    return kept
+
+
 class _Aligned:
     def __init__(self, min_words: int, similarity: float) -> None:
         self.min_words, self.similarity = min_words, similarity
@@ -377,13 +394,18 @@ class _Aligned:
         for batch in batches:
             row, out = [], []
             for i, (mine, theirs, runs) in enumerate(zip(*(batch.column(name) for name in ("mine", "theirs", "runs")))):
+                passages = []
                 for near, far, run in zip(mine, theirs, runs):
                     low, other_low = near["low"].as_py(), far["low"].as_py()
                     a, b, xs, ys = (side.values.to_numpy() for side in (near["words"], far["words"], run["xs"], run["ys"]))
                     start, end, other_start, other_end, total, same = align(a, b, xs - low, ys - other_low, self.similarity)
                     if min(varied(a[start:end]), varied(b[other_start:other_end])) >= self.min_words:
-                        row.append(i)
-                        out.append((start + low, end + low, other_start + other_low, other_end + other_low, total, same, same / total))
+                        passages.append((start + low, end + low, other_start + other_low, other_end + other_low, total, same, same / total))
+                sides = list(zip(*passages)) or [()] * 4
+                # What others of this pair cover on both sides says nothing new.
+                kept = sorted(fewest(sides[0], sides[1]) | fewest(sides[2], sides[3]))
+                row += [i] * len(kept)
+                out += [passages[k] for k in kept]
             names = ["doc_id", "other_id", "doc", "other"]
             kept = batch.select(names).take(pa.array(row, pa.int64())).columns
             kinds = (*[pa.int32()] * 6, pa.float64())

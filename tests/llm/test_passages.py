@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -182,12 +183,26 @@ def test_words_said_over_and_over_are_not_held_at_every_place(spark, tmp_path, m
     for held in (near, loose):
         assert held.groupBy("doc", "hash").count().agg({"count": "max"}).first()[0] <= most < times
     assert {r.doc_id for r in rows} == set(range(len(endings)))
+    assert len(rows) <= 2 * len(endings) * 3 * times // passages.MIN_WORDS
     for i in range(20):
         mine = corpus.words(texts[i])
         covered = {at for r in rows if r.doc_id == i for at in range(r.start, r.end)}
         assert covered >= set(range(30, len(mine)))
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_fewest_spans_cover_what_all_cover(seed):
+    rng = np.random.default_rng(seed)
+    start = rng.integers(0, 60, int(rng.integers(1, 9))).tolist()
+    end = [s + int(n) for s, n in zip(start, rng.integers(1, 20, len(start)))]
+    places = [set(range(s, e)) for s, e in zip(start, end)]
+    covers = [c for n in range(len(start) + 1) for c in itertools.combinations(places, n) if set().union(*c) == set().union(*places)]
+    got = passages.fewest(start, end)
+    assert set().union(*(places[i] for i in got)) == set().union(*places)
+    assert len(got) == len(covers[0])
+    assert passages.fewest([], []) == set()
+
+
 @pytest.mark.parametrize("period", [1, 2, 3, 7, 12, 24, 25, 40])
 def test_places_left_out_are_within_a_run(period):
     """Any place left out has the words around it of the kept ones of its hash before and after, less than 48 words apart."""
