@@ -38,12 +38,12 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: f
     added or missing. Words are runs of letters and digits, in lower case; one that equals the word before it does not count
     towards `min_words`, so that documents which say one word over and over share no passage by that.
 
-    Documents that have a passage get a row for it; not every pair of them does. Of the passages of one pair those are left out
-    whose words are all, on both sides, in others of that pair. First the document of the smallest
-    fingerprint that holds a seed stands for all, and the others are held against it if two seeds agree. Then the seeds
-    outside the passages found are put in order of the words after them (and, once more, before them), and each is held
-    against its neighbour: those that agree longest stand together, however many documents hold pieces of a passage. So
-    pairs grow with the seeds and never with their square. Alignments go at most 64 words beyond the outermost seeds.
+    Documents that have a passage get a row for it; not every pair of them does. Where one says a few words over and over, a
+    passage there is left out if its words are, on both sides, in its neighbours of the same pair. First the document of
+    the smallest fingerprint that holds a seed stands for all, and the others are held against it if two seeds agree. Then
+    the seeds outside the passages found are put in order of the words after them (and, once more, before them), and each is
+    held against its neighbour: those that agree longest stand together, however many documents hold pieces of a passage.
+    So pairs grow with the seeds and never with their square. Alignments go at most 64 words beyond the outermost seeds.
 
     Equal documents are passages from end to end, if long enough. What repeats within one document only is not reported.
     Null and empty texts have no words; null ids are kept as they are. Rows equal in id and text are one document, known
@@ -386,6 +386,27 @@ def fewest(start: list[int], end: list[int]) -> set[int]:
     return kept
 
 
+def without_runs(passages: list[tuple], at: list[tuple[int, int]]) -> list[tuple]:
+    """Passages of one pair, of a run only those needed to cover what all of the run cover on both sides.
+
+    `at` is where the chain of each begins in both texts. A run holds one place of a text against places of the other that
+    follow each other within CONTEXT words, as in a stretch that says a few words over and over.
+    """
+    kept = range(len(passages))
+    for moving, fixed in ((0, 1), (1, 0)):
+        order, runs = sorted(kept, key=lambda i: (at[i][fixed], at[i][moving])), []
+        for i in order:
+            if runs and at[i][fixed] == at[runs[-1][-1]][fixed] and at[i][moving] - at[runs[-1][-1]][moving] <= CONTEXT:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+        kept = set()
+        for run in runs:
+            sides = list(zip(*(passages[i] for i in run)))
+            kept |= {run[k] for k in fewest(sides[0], sides[1]) | fewest(sides[2], sides[3])}
+    return [passages[i] for i in sorted(kept)]
+
+
 class _Aligned:
     def __init__(self, min_words: int, similarity: float) -> None:
         self.min_words, self.similarity = min_words, similarity
@@ -394,18 +415,17 @@ class _Aligned:
         for batch in batches:
             row, out = [], []
             for i, (mine, theirs, runs) in enumerate(zip(*(batch.column(name) for name in ("mine", "theirs", "runs")))):
-                passages = []
+                passages, at = [], []
                 for near, far, run in zip(mine, theirs, runs):
                     low, other_low = near["low"].as_py(), far["low"].as_py()
                     a, b, xs, ys = (side.values.to_numpy() for side in (near["words"], far["words"], run["xs"], run["ys"]))
                     start, end, other_start, other_end, total, same = align(a, b, xs - low, ys - other_low, self.similarity)
                     if min(varied(a[start:end]), varied(b[other_start:other_end])) >= self.min_words:
+                        at.append((int(xs[0]), int(ys[0])))
                         passages.append((start + low, end + low, other_start + other_low, other_end + other_low, total, same, same / total))
-                sides = list(zip(*passages)) or [()] * 4
-                # What others of this pair cover on both sides says nothing new.
-                kept = sorted(fewest(sides[0], sides[1]) | fewest(sides[2], sides[3]))
-                row += [i] * len(kept)
-                out += [passages[k] for k in kept]
+                passages = without_runs(passages, at)
+                row += [i] * len(passages)
+                out += passages
             names = ["doc_id", "other_id", "doc", "other"]
             kept = batch.select(names).take(pa.array(row, pa.int64())).columns
             kinds = (*[pa.int32()] * 6, pa.float64())
